@@ -89,7 +89,7 @@ def band(value: Column, edges: Sequence[float], closed: str = "left") -> Column:
 
 def label(number: Column, labels: Sequence[str]) -> Column:
     """Text of a 0-based bin number; null stays null."""
-    return F.element_at(F.array(*(F.lit(t) for t in labels)), number + 1)
+    return F.get(F.array(*(F.lit(t) for t in labels)), number)
 
 
 def steady_round(value: Column, digits: int) -> Column:

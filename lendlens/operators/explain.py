@@ -6,6 +6,7 @@ features never leave it, so nothing is exploded, shuffled or ranked globally.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from itertools import product
 
@@ -114,39 +115,45 @@ def counterfactual_grid(
 ) -> DataFrame:
     """Smallest change of the external scores that brings PD under ``threshold``.
 
-    Each risky client searches a fixed grid held in an array expression; ties
-    go to the earlier grid entry. Clients the grid cannot help get nulls.
+    Each risky client compares a fixed grid of moves inside its own row: the
+    moved scores are computed once per score, a grid entry is their sum, and
+    ``least`` keeps the nearest entry below the threshold (ties to the earlier
+    one). Clients the grid cannot help get nulls.
     """
-    grid = list(product(moves, repeat=len(SCORE_COLUMNS)))
+    grid = list(product(range(len(moves)), repeat=len(SCORE_COLUMNS)))
     if len(grid) > MAX_GRID:
         raise ValueError(f"grid of {len(grid)} entries exceeds {MAX_GRID}")
-    options = F.array(
-        *(F.struct(F.lit(i).alias("id"), *(F.lit(m).alias(f"m{j}") for j, m in enumerate(g))) for i, g in enumerate(grid))
-    )
-
-    def reach(g: Column) -> Column:
-        moved = [F.least(F.col(c) + g[f"m{j}"], F.lit(1.0)) for j, c in enumerate(SCORE_COLUMNS)]
-        shift = [F.round(m - F.col(c), 9) for m, c in zip(moved, SCORE_COLUMNS)]
-        mean = (moved[0] + moved[1] + moved[2]) / 3
-        return F.struct(
-            F.round(shift[0] + shift[1] + shift[2], 9).alias("distance"),
-            g["id"].alias("grid_id"),
-            logit_to_pd(F.lit(SLOPE) * (mean - F.lit(CENTRE))).alias("new_pd"),
-            *(m.alias(f"new_{c}") for m, c in zip(moved, SCORE_COLUMNS)),
-        )
-
-    reached = F.filter(F.transform(options, reach), lambda r: r["new_pd"] < threshold)
-    risky = scored.where(F.col("PD") > risky_above).withColumn("best", F.array_min(reached))
-    changed = [
-        F.when(F.col(f"best.new_{c}") != F.col(c), F.col(f"best.new_{c}")).alias(f"new_{c}") for c in SCORE_COLUMNS
-    ]
-    return risky.select(
+    risky = scored.where(F.col("PD") > risky_above)
+    moved, shift = {}, {}
+    for i, c in enumerate(SCORE_COLUMNS):
+        for j, m in enumerate(moves):
+            moved[f"n{i}_{j}"] = F.least(F.col(c) + F.lit(m), F.lit(1.0))
+            shift[f"d{i}_{j}"] = F.round(F.col(f"n{i}_{j}") - F.col(c), 9)
+    tried = risky.withColumns(moved).withColumns(shift)
+    # PD is below the threshold when the logit is below the threshold's logit.
+    cut = math.log(threshold / (1.0 - threshold))
+    entries = []
+    for number, steps in enumerate(grid):
+        total = " + ".join(f"n{i}_{j}" for i, j in enumerate(steps))
+        far = " + ".join(f"d{i}_{j}" for i, j in enumerate(steps))
+        reached = f"{SLOPE}D * (({total}) / {len(SCORE_COLUMNS)} - {CENTRE}D) < {cut!r}D"
+        entries.append(f"if({reached}, named_struct('distance', round({far}, 9), 'grid_id', {number}), null)")
+    best = tried.withColumn("best", F.expr(f"least({', '.join(entries)})"))
+
+    new = {}
+    for i, c in enumerate(SCORE_COLUMNS):
+        step = F.floor(F.col("best.grid_id") / len(moves) ** (len(SCORE_COLUMNS) - 1 - i)) % len(moves)
+        options = F.array(*(F.col(f"n{i}_{j}") for j in range(len(moves))))
+        new[f"to_{c}"] = F.get(options, step.cast("int"))
+    chosen = best.withColumns(new)
+    mean = sum((F.col(f"to_{c}") for c in SCORE_COLUMNS[1:]), F.col(f"to_{SCORE_COLUMNS[0]}")) / len(SCORE_COLUMNS)
+    return chosen.select(
         "SK_ID_CURR",
         F.col("PD").alias("original_pd"),
-        F.col("best.grid_id").alias("grid_id"),
-        F.col("best.distance").alias("distance"),
-        F.col("best.new_pd").alias("new_pd"),
-        *changed,
+        "best.grid_id",
+        "best.distance",
+        logit_to_pd(F.lit(SLOPE) * (mean - F.lit(CENTRE))).alias("new_pd"),
+        *(F.when(F.col(f"to_{c}") != F.col(c), F.col(f"to_{c}")).alias(f"new_{c}") for c in SCORE_COLUMNS),
     )
 
 

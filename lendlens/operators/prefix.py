@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_RANGE = 250_000
 MIN_RANGES = 8
+FIRST_RANGES = 64
 MAX_RANGES = 4096
 _RANGE = "__range"
 
@@ -35,25 +36,38 @@ class Cuts:
         return Bucketizer(splits=splits, inputCol=key, outputCol=_RANGE).transform(df)
 
 
+def _as_key(key: str) -> Column:
+    """The key as double, with -0.0 folded into 0.0 so that equal keys are equal bits."""
+    return F.col(key).cast("double") + F.lit(0.0)
+
+
+def _quantile_points(df: DataFrame, key: str, pieces: int) -> tuple[int, list[float]]:
+    """Row count and the ``pieces - 1`` inner approximate quantiles of a key."""
+    shares = ", ".join(f"{i / pieces}D" for i in range(1, pieces))
+    row = df.agg(
+        F.count(key).alias("n"),
+        F.expr(f"percentile_approx(cast(`{key}` as double), array({shares}), {8 * pieces})").alias("points"),
+    ).first()
+    return row["n"], [p + 0.0 for p in row["points"] or []]
+
+
 def find_cuts(df: DataFrame, key: str, rows_per_range: int = ROWS_PER_RANGE) -> Cuts:
-    """Equal-depth boundaries of ``key`` from one sketch pass.
+    """Equal-depth boundaries of ``key`` from a sketch pass (two when the table is large).
 
     A value named by two neighbouring quantiles holds a large share of the
     rows; it is reported as heavy so that row-level joins can treat it apart.
     """
-    steps = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    value = F.col(key).cast("double")
-    row = df.agg(
-        F.count(value).alias("n"),
-        F.percentile_approx(value, F.array(*(F.lit(s) for s in steps)), 4 * MAX_RANGES).alias("points"),
-    ).first()
-    if not row["points"]:
+    pieces = FIRST_RANGES
+    n, points = _quantile_points(df, key, pieces)
+    ranges = min(MAX_RANGES, max(MIN_RANGES, -(-n // rows_per_range)))
+    if ranges > pieces:
+        pieces = MAX_RANGES
+        n, points = _quantile_points(df, key, pieces)
+    if not points:
         return Cuts()
-    ranges = min(MAX_RANGES, max(MIN_RANGES, -(-row["n"] // rows_per_range)))
-    stride = MAX_RANGES / ranges
-    points = [row["points"][min(len(steps), round(i * stride)) - 1] for i in range(1, ranges)]
-    heavy = sorted({a for a, b in zip(points, points[1:]) if a == b})
-    return Cuts(sorted(set(points)), heavy)
+    chosen = [points[round(i * pieces / ranges) - 1] for i in range(1, ranges)]
+    heavy = sorted({a for a, b in zip(chosen, chosen[1:]) if a == b})
+    return Cuts(sorted(set(chosen)), heavy)
 
 
 def running_sums(
@@ -70,7 +84,7 @@ def running_sums(
     Groups are few (models, tiers, columns); null keys are dropped.
     """
     groups = list(groups)
-    known = df.where(F.col(key).isNotNull()).withColumn(key, F.col(key).cast("double"))
+    known = df.where(F.col(key).isNotNull()).withColumn(key, _as_key(key))
     cuts = cuts or find_cuts(known, key)
     ranged = groups + [_RANGE]
     tied = cuts.assign(known, key).groupBy(*ranged, key).agg(*(c.alias(n) for n, c in values.items()))
@@ -104,6 +118,7 @@ def attach_by_value(
     the rows and take an ordinary shuffle join.
     """
     on = [*groups, key]
+    rows = rows.withColumn(key, _as_key(key))
     if not cuts.heavy:
         return rows.join(found, on, "left")
     hot = F.coalesce(F.col(key).isin(cuts.heavy), F.lit(False))
@@ -124,7 +139,6 @@ def average_ranks(
 
 def average_rank(df: DataFrame, value: str, output: str = "avg_rank") -> DataFrame:
     """Every row of ``df`` with the average rank of its value; null for null."""
-    typed = df.withColumn(value, F.col(value).cast("double"))
-    cuts = find_cuts(typed, value)
-    ranks = average_ranks(typed, value, cuts=cuts).select(value, F.col("avg_rank").alias(output))
-    return attach_by_value(typed, ranks, value, cuts)
+    cuts = find_cuts(df, value)
+    ranks = average_ranks(df, value, cuts=cuts).select(value, F.col("avg_rank").alias(output))
+    return attach_by_value(df, ranks, value, cuts)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendlens.functions.columns import age_years, band, label
 from lendlens.operators.features import repayment_scalars
-from lendlens.operators.prefix import Cuts, attach_by_value, find_cuts, running_sums
+from lendlens.operators.prefix import attach_by_value, find_cuts, running_sums
 
 # Bin edges [a, b) and labels.
 AGE_EDGES = (18, 25, 35, 45, 55, 65, 100)
@@ -134,33 +133,26 @@ def repay_target_join(apps: DataFrame, profiles: DataFrame) -> DataFrame:
     return apps.select(*wanted).join(profiles, "SK_ID_CURR")
 
 
-def _matrix(pairs: dict[tuple[str, str], Column], counted: DataFrame) -> DataFrame:
-    """Symmetric long matrix from one row holding every pair's value."""
-    entries = []
-    for (a, b), value in pairs.items():
-        entries.append(F.struct(F.lit(a).alias("variable"), F.lit(b).alias("other"), value.alias("correlation")))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias("variable"), F.lit(a).alias("other"), value.alias("correlation")))
-    return counted.select(F.inline(F.array(*entries)))
+def _correlations(df: DataFrame, columns: Sequence[str], rows: Sequence[Column], pair) -> DataFrame:
+    """Long correlation matrix from one grouped aggregate.
 
-
-def _varied(value: Column) -> Column:
-    """1 on the diagonal when the column varies, else null."""
-    return F.when(F.max(value) > F.min(value), F.lit(1.0))
+    ``rows`` are structs, one per variable, whose first field is its position;
+    each input row is repeated once per variable, so an aggregate holds one
+    matrix row (a few correlations) instead of every pair at once.
+    ``pair(j)`` names the two columns to correlate for the other variable j.
+    """
+    repeated = df.select("*", F.inline(F.array(*rows)))
+    by_row = repeated.groupBy("position").agg(*(F.corr(*pair(j)).alias(f"r{j}") for j in range(len(columns))))
+    entries = [F.struct(F.lit(c).alias("other"), F.col(f"r{j}").alias("correlation")) for j, c in enumerate(columns)]
+    return by_row.select(label(F.col("position"), columns).alias("variable"), F.inline(F.array(*entries)))
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
-    """Pairwise-complete Pearson correlations, every pair in one aggregate."""
+    """Pairwise-complete Pearson correlations in one pass; null for a constant column."""
     columns = [c for c in columns if c in df.columns]
     typed = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    aggregates, pairs = [], {}
-    for i, c in enumerate(columns):
-        aggregates.append(_varied(F.col(c)).alias(f"d{i}"))
-        pairs[c, c] = F.col(f"d{i}")
-    for i, (a, b) in enumerate(combinations(columns, 2)):
-        aggregates.append(F.corr(a, b).alias(f"r{i}"))
-        pairs[a, b] = F.col(f"r{i}")
-    return _matrix(pairs, typed.agg(*aggregates))
+    rows = [F.struct(F.lit(i).alias("position"), F.col(c).alias("x")) for i, c in enumerate(columns)]
+    return _correlations(typed, columns, rows, lambda j: ("x", columns[j]))
 
 
 def spearman_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, key: str = "SK_ID_CURR") -> DataFrame:
@@ -180,34 +172,23 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, key: str
     long = typed.select(key, *present, F.inline(F.array(*entries))).where("value is not null")
 
     counters = {"n": F.count(F.lit(1))} | {f"k{i}": F.sum(f"k{i}") for i in range(len(gappy))}
-    cuts: Cuts = find_cuts(long, "value")
+    cuts = find_cuts(long, "value")
     sums = running_sums(long, "value", counters, ["column"], cuts)
-    ranks = sums.select(
-        "column",
-        "value",
-        *((F.col(f"{n}_before") + (F.col(n) + 1) / 2).alias(f"rank_{n}") for n in counters),
-    )
+    per_counter = F.array(*(F.col(f"{n}_before") + (F.col(n) + 1) / 2 for n in counters))
+    ranks = sums.select("column", "value", per_counter.alias("ranks"))
     ranked = attach_by_value(long.select(key, "column", "value"), ranks, "value", cuts, ["column"])
 
-    def pick(i: int, counter: str) -> Column:
-        return F.max(F.when(F.col("column") == i, F.col(f"rank_{counter}")))
-
-    # One row per client: each column's rank under every counter a pair may need.
-    wide = ranked.groupBy(key).agg(
-        *(pick(i, n).alias(f"r{i}_{n}") for i in range(len(columns)) for n in counters)
-    )
+    # One list per client, at most one entry per variable.
+    packed = ranked.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("column", "ranks"))).alias("ranks"))
+    wide = packed.select(*(F.try_element_at("ranks", F.lit(i)).alias(f"v{i}") for i in range(len(columns))))
 
     def rank_given(i: int, other: str) -> Column:
-        counter = f"k{gappy.index(other)}" if other in gappy else "n"
-        return F.col(f"r{i}_{counter}")
-
-    aggregates, pairs = [], {}
-    for i, c in enumerate(columns):
-        aggregates.append(_varied(F.col(f"r{i}_n")).alias(f"d{i}"))
-        pairs[c, c] = F.col(f"d{i}")
-    for (i, a), (j, b) in combinations(list(enumerate(columns)), 2):
-        both = F.col(f"r{i}_n").isNotNull() & F.col(f"r{j}_n").isNotNull()
-        x, y = rank_given(i, b), rank_given(j, a)
-        aggregates.append(F.corr(F.when(both, x), F.when(both, y)).alias(f"r{i}_{j}"))
-        pairs[a, b] = F.col(f"r{i}_{j}")
-    return _matrix(pairs, wide.agg(*aggregates))
+        counter = 1 + gappy.index(other) if other in gappy else 0
+        return F.get(f"v{i}", F.lit(counter))
+
+    rows = []
+    for i, a in enumerate(columns):
+        x = [F.when(F.col(f"v{j}").isNotNull(), rank_given(i, b)).alias(f"x{j}") for j, b in enumerate(columns)]
+        y = [rank_given(j, a).alias(f"y{j}") for j in range(len(columns))]
+        rows.append(F.struct(F.lit(i).alias("position"), *x, *y))
+    return _correlations(wide, columns, rows, lambda j: (f"x{j}", f"y{j}"))

@@ -92,13 +92,19 @@ def label(number: Column, labels: Sequence[str]) -> Column:
     return F.get(F.array(*(F.lit(t) for t in labels)), number)
 
 
+def to_places(value: Column, digits: int) -> Column:
+    """Round to ``digits`` places with double arithmetic only (no decimal conversion)."""
+    scale = F.lit(10.0**digits)
+    return F.rint(value * scale) / scale + F.lit(0.0)
+
+
 def steady_round(value: Column, digits: int) -> Column:
     """Round after a nudge of about 1% of the last kept digit.
 
     Decimal amounts often sit exactly on a rounding boundary, where the order
     of a floating-point sum decides the result; the nudge takes them off it.
     """
-    return F.round(value.cast("double") + F.lit(10.0**-digits / 70), digits)
+    return to_places(value.cast("double") + F.lit(10.0**-digits / 70), digits)
 
 
 def hash_order(key: str | Column = "SK_ID_CURR") -> Column:

@@ -20,6 +20,8 @@ from lendlens.operators.scoring import CENTRE, SLOPE, logit_to_pd
 # Allowed score moves of the counterfactual grid.
 MOVES = (0.0, 0.05, 0.1, 0.2, 0.3)
 MAX_GRID = 1000
+# Distances are compared in whole units of 1e-9.
+DISTANCE_UNITS = 1e9
 APPROVAL_PD = 0.5
 SIMULATOR_EPSILON = 1e-6
 
@@ -128,7 +130,7 @@ def counterfactual_grid(
     for i, c in enumerate(SCORE_COLUMNS):
         for j, m in enumerate(moves):
             moved[f"n{i}_{j}"] = F.least(F.col(c) + F.lit(m), F.lit(1.0))
-            shift[f"d{i}_{j}"] = F.round(F.col(f"n{i}_{j}") - F.col(c), 9)
+            shift[f"d{i}_{j}"] = F.rint((F.col(f"n{i}_{j}") - F.col(c)) * F.lit(DISTANCE_UNITS)).cast("bigint")
     tried = risky.withColumns(moved).withColumns(shift)
     # PD is below the threshold when the logit is below the threshold's logit.
     cut = math.log(threshold / (1.0 - threshold))
@@ -137,12 +139,14 @@ def counterfactual_grid(
         total = " + ".join(f"n{i}_{j}" for i, j in enumerate(steps))
         far = " + ".join(f"d{i}_{j}" for i, j in enumerate(steps))
         reached = f"{SLOPE}D * (({total}) / {len(SCORE_COLUMNS)} - {CENTRE}D) < {cut!r}D"
-        entries.append(f"if({reached}, named_struct('distance', round({far}, 9), 'grid_id', {number}), null)")
+        # One number orders entries by distance, then by position in the grid.
+        entries.append(f"if({reached}, ({far}) * {MAX_GRID} + {number}, null)")
     best = tried.withColumn("best", F.expr(f"least({', '.join(entries)})"))
+    best = best.withColumn("grid_id", (F.col("best") % MAX_GRID).cast("int"))
 
     new = {}
     for i, c in enumerate(SCORE_COLUMNS):
-        step = F.floor(F.col("best.grid_id") / len(moves) ** (len(SCORE_COLUMNS) - 1 - i)) % len(moves)
+        step = F.floor(F.col("grid_id") / len(moves) ** (len(SCORE_COLUMNS) - 1 - i)) % len(moves)
         options = F.array(*(F.col(f"n{i}_{j}") for j in range(len(moves))))
         new[f"to_{c}"] = F.get(options, step.cast("int"))
     chosen = best.withColumns(new)
@@ -150,8 +154,8 @@ def counterfactual_grid(
     return chosen.select(
         "SK_ID_CURR",
         F.col("PD").alias("original_pd"),
-        "best.grid_id",
-        "best.distance",
+        "grid_id",
+        (F.floor(F.col("best") / MAX_GRID) / F.lit(DISTANCE_UNITS)).alias("distance"),
         logit_to_pd(F.lit(SLOPE) * (mean - F.lit(CENTRE))).alias("new_pd"),
         *(F.when(F.col(f"to_{c}") != F.col(c), F.col(f"to_{c}")).alias(f"new_{c}") for c in SCORE_COLUMNS),
     )

@@ -36,7 +36,7 @@ def _with(body: str, *needs: str) -> str:
 
 
 def _rd(expression: str, digits: int = 6) -> str:
-    return f"round(cast({expression} as double) + {10.0**-digits / 70!r}, {digits})"
+    return f"round(cast({expression} as double) + {10.0**-digits / 70!r}, {digits}) + 0e0"
 
 
 def _out(body: str, d6: Sequence[str] = (), d2: Sequence[str] = (), big: Sequence[str] = (), d9: Sequence[str] = ()) -> str:

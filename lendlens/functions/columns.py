@@ -108,6 +108,10 @@ def steady_round(value: Column, digits: int) -> Column:
 
 
 def hash_order(key: str | Column = "SK_ID_CURR") -> Column:
-    """Multiplicative hash of a non-negative key below 2**31, in [0, 2**32)."""
+    """Multiplicative hash of a non-negative integer key, in [0, 2**32).
+
+    Keys are folded to 31 bits first so that the product stays inside a long;
+    larger keys may therefore share a hash.
+    """
     c = F.col(key) if isinstance(key, str) else key
-    return (c.cast("bigint") * F.lit(2654435761)) % F.lit(4294967296)
+    return ((c.cast("bigint") % F.lit(2147483648)) * F.lit(2654435761)) % F.lit(4294967296)

@@ -146,34 +146,21 @@ def _recent(value: Column) -> Column:
     return F.when(F.col("DAYS_INSTALMENT") >= RECENT_DAYS, value)
 
 
-def instalment_features(df: DataFrame) -> DataFrame:
-    """Per-client repayment features; recency shares the same aggregate.
-
-    One group-by with partial sums on the map side, so a client owning a large
-    share of all payments still sends one row per task.
-    """
-    scalars = instalment_scalars(df)
-    grouped = scalars.groupBy("SK_ID_CURR").agg(
+def _coded_aggregates(ratio: str = "PAYMENT_RATIO") -> list[Column]:
+    return [
         F.avg("DPD").alias("INST_AVG_DPD"),
         F.max("DPD").cast("double").alias("INST_MAX_DPD"),
         F.avg("LATE_PAYMENT").alias("INST_PCT_LATE"),
-        F.avg("PAYMENT_RATIO").alias("INST_AVG_PAYMENT_RATIO"),
+        F.avg(ratio).alias("INST_AVG_PAYMENT_RATIO"),
         F.sum("PAYMENT_DEFICIT").alias("INST_TOTAL_DEFICIT"),
         F.avg("PAYMENT_DEFICIT").alias("INST_AVG_DEFICIT"),
         F.avg(_recent(F.col("DPD"))).alias("INST_REC180_AVG_DPD"),
-    )
-    velocity = padded_ratio(F.col("INST_REC180_AVG_DPD"), F.col("INST_AVG_DPD"))
-    return grouped.withColumn("INST_DPD_VELOCITY", velocity).fillna(0.0)
+    ]
 
 
-def metadata_inst_features(df: DataFrame) -> DataFrame:
-    """Per-client features known by name from the published feature list.
-
-    Expects cleaned instalments (with IS_MISSED_PAYMENT).
-    """
-    scalars = repayment_scalars(df)
+def _published_aggregates() -> list[Column]:
     deficit = F.col("PAYMENT_DEFICIT")
-    grouped = scalars.groupBy("SK_ID_CURR").agg(
+    return [
         F.count(F.lit(1)).alias("INST_TOTAL_INSTALLMENTS"),
         F.sum("IS_LATE").alias("INST_COUNT_LATE"),
         F.min("PAYMENT_RATIO").alias("INST_MIN_PAYMENT_RATIO"),
@@ -187,9 +174,48 @@ def metadata_inst_features(df: DataFrame) -> DataFrame:
         F.count(_recent(F.lit(1))).alias("INST_REC180_COUNT"),
         F.avg(_recent(F.col("IS_LATE"))).alias("INST_REC180_PCT_LATE"),
         F.avg(_recent(deficit)).alias("INST_REC180_AVG_DEFICIT"),
+    ]
+
+
+def _dpd_velocity() -> Column:
+    return padded_ratio(F.col("INST_REC180_AVG_DPD"), F.col("INST_AVG_DPD"))
+
+
+def _deficit_velocity() -> Column:
+    return padded_ratio(F.col("INST_REC180_AVG_DEFICIT"), F.col("__avg_deficit"))
+
+
+def instalment_features(df: DataFrame) -> DataFrame:
+    """Per-client repayment features; recency shares the same aggregate.
+
+    One group-by with partial sums on the map side, so a client owning a large
+    share of all payments still sends one row per task.
+    """
+    grouped = instalment_scalars(df).groupBy("SK_ID_CURR").agg(*_coded_aggregates())
+    return grouped.withColumn("INST_DPD_VELOCITY", _dpd_velocity()).fillna(0.0)
+
+
+def metadata_inst_features(df: DataFrame) -> DataFrame:
+    """Per-client features known by name from the published feature list.
+
+    Expects cleaned instalments (with IS_MISSED_PAYMENT).
+    """
+    grouped = repayment_scalars(df).groupBy("SK_ID_CURR").agg(*_published_aggregates())
+    return grouped.withColumn("INST_DEFICIT_VELOCITY", _deficit_velocity()).drop("__avg_deficit").fillna(0.0)
+
+
+def client_features(df: DataFrame) -> DataFrame:
+    """Both feature sets from one scan and one shuffle of the cleaned instalments."""
+    padded = instalment_scalars(df).withColumnRenamed("PAYMENT_RATIO", "PADDED_RATIO")
+    grouped = (
+        repayment_scalars(padded)
+        .groupBy("SK_ID_CURR")
+        .agg(*_coded_aggregates("PADDED_RATIO"), *_published_aggregates())
+    )
+    with_velocity = grouped.withColumns(
+        {"INST_DPD_VELOCITY": _dpd_velocity(), "INST_DEFICIT_VELOCITY": _deficit_velocity()}
     )
-    velocity = padded_ratio(F.col("INST_REC180_AVG_DEFICIT"), F.col("__avg_deficit"))
-    return grouped.withColumn("INST_DEFICIT_VELOCITY", velocity).drop("__avg_deficit").fillna(0.0)
+    return with_velocity.drop("__avg_deficit").fillna(0.0)
 
 
 def attach_instalments(apps: DataFrame, inst_features: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ by distributed selection, so the rows themselves do not move.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -31,16 +32,46 @@ def high_risk(
     return risky if top_k is None else risky.orderBy(F.desc(order or score), key).limit(top_k)
 
 
-def _kth(df: DataFrame, value: Column, k: int, limit: int) -> object:
-    """The k-th smallest value (1-based), None outside the data."""
-    return select_ranks(df, {"value": (value, lambda n: [k - 1])}, limit)["value"][1][0]
+def _first_conditions(
+    df: DataFrame,
+    wanted: Mapping[str, tuple[Column, Callable[[int], int]]],
+    key: str,
+    limit: int,
+) -> dict[str, Column]:
+    """Per name, the condition that holds for the first k rows by (value, key).
+
+    ``wanted`` maps a name to a value column (null outside its population) and
+    to k as a function of the population size. First the k-th value is
+    selected; only if its ties are not admitted as a whole, the last admitted
+    key among them is selected too.
+    """
+    picked = select_ranks(df, {n: (v, lambda size, k=k: [k(size) - 1]) for n, (v, k) in wanted.items()}, limit)
+    sizes = {n: wanted[n][1](picked[n][0]) for n in wanted}
+    cuts = {n: picked[n][1][0] for n in wanted}
+    live = [n for n in wanted if cuts[n] is not None]
+    counts = {}
+    if live:
+        around = [F.struct(F.count_if(wanted[n][0] < F.lit(cuts[n])), F.count_if(wanted[n][0] == F.lit(cuts[n]))) for n in live]
+        counts = dict(zip(live, df.agg(*around).first()))
+    split = {n: sizes[n] - counts[n][0] for n in live if sizes[n] - counts[n][0] < counts[n][1]}
+    ties = {n: (F.when(wanted[n][0] == F.lit(cuts[n]), F.col(key)), lambda _, r=r: [r - 1]) for n, r in split.items()}
+    last_keys = select_ranks(df, ties, limit) if ties else {}
+
+    conditions = {}
+    for n, (value, _) in wanted.items():
+        if cuts[n] is None:  # nobody, or more rows asked for than there are
+            inside = F.lit(False) if sizes[n] <= 0 else value.isNotNull()
+        elif n in split:
+            inside = (value < F.lit(cuts[n])) | ((value == F.lit(cuts[n])) & (F.col(key) <= F.lit(last_keys[n][1][0])))
+        else:
+            inside = value <= F.lit(cuts[n])
+        conditions[n] = F.coalesce(inside, F.lit(False))
+    return conditions
 
 
 def hash_sample(df: DataFrame, n: int, key: str = "SK_ID_CURR", limit: int = SORT_LIMIT) -> DataFrame:
     """The n rows with the smallest key hashes (all rows when fewer); keys are unique."""
-    hashed = hash_order(key)
-    cut = _kth(df, hashed, n, limit)
-    return df if cut is None else df.where(hashed <= F.lit(cut))
+    return df.where(_first_conditions(df, {"sample": (hash_order(key), lambda _: n)}, key, limit)["sample"])
 
 
 def train_test_split(df: DataFrame, test_share: float = 0.2, key: str = "SK_ID_CURR") -> DataFrame:
@@ -61,45 +92,22 @@ def stratified_split(
         raise ValueError(f"{stratum} has more than 1000 strata")
     hashed = hash_order(key)
     wanted = {
-        str(i): (
-            F.when(F.col(stratum).eqNullSafe(F.lit(v)), hashed),
-            lambda n: [math.floor(test_share * n) - 1],
-        )
+        str(i): (F.when(F.col(stratum).eqNullSafe(F.lit(v)), hashed), lambda size: math.floor(test_share * size))
         for i, v in enumerate(values)
     }
-    cuts = select_ranks(df, wanted, limit)
     test = F.lit(False)
-    for i, v in enumerate(values):
-        cut = cuts[str(i)][1][0]
-        if cut is not None:
-            test = test | (F.col(stratum).eqNullSafe(F.lit(v)) & (hashed <= F.lit(cut)))
+    for inside in _first_conditions(df, wanted, key, limit).values():
+        test = test | inside
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
-def first_in_order(
-    df: DataFrame, score: str, k: int, key: str = "SK_ID_CURR", descending: bool = True, limit: int = SORT_LIMIT
-) -> Column:
-    """Condition that holds for the first k rows by (score, then key ascending).
-
-    Two selections: the k-th score, then among its ties the last key admitted.
-    """
-    value = -F.col(score) if descending else F.col(score)
-    if k <= 0:
-        return F.lit(False)
-    cut = _kth(df, value, k, limit)
-    if cut is None:
-        return F.lit(True)
-    before = df.agg(F.count_if(value < F.lit(cut)).alias("n")).first()["n"]
-    last_key = _kth(df, F.when(value == F.lit(cut), F.col(key)), k - before, limit)
-    return (value < F.lit(cut)) | ((value == F.lit(cut)) & (F.col(key) <= F.lit(last_key)))
-
-
 def top_bottom(df: DataFrame, score: str, key: str = "SK_ID_CURR", limit: int = SORT_LIMIT) -> DataFrame:
-    """Adds ``tail``: 'top' for the first 20% of rows by score, 'bottom' for those after 80%, else null.
+    """Adds ``tail``: 'top' for the first 20% of rows by score (ties by key), 'bottom' for those after 80%, else null.
 
     Counts are truncated, as in ``int(0.2 * n)`` and ``int(0.8 * n)``.
     """
-    n = df.count()
-    first = first_in_order(df, score, int(n * 0.2), key, limit=limit)
-    most = first_in_order(df, score, int(n * 0.8), key, limit=limit)
-    return df.withColumn("tail", F.when(first, "top").when(~most, "bottom"))
+    value = -F.col(score)
+    wanted = {"top": (value, lambda n: int(n * 0.2)), "most": (value, lambda n: int(n * 0.8))}
+    first = _first_conditions(df, wanted, key, limit)
+    tail = F.when(first["top"], "top").when(~first["most"] & F.col(score).isNotNull(), "bottom")
+    return df.withColumn("tail", tail)

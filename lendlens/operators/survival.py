@@ -146,7 +146,9 @@ def concordance_index(df: DataFrame, risk: str, duration: str = "duration", even
     month = F.least(F.lit(MAX_MONTHS), F.greatest(F.lit(1), F.ceil(F.col(duration)))).cast("int")
     cls = 2 * month + (1 - F.col(event))
     bits = (2 * MAX_MONTHS + 1).bit_length()
-    classed = df.where(F.col(risk).isNotNull()).groupBy(F.col(risk).alias("risk"), cls.alias("cls")).count()
+    known = df.where(F.col(risk).isNotNull())
+    cuts = find_cuts(known, risk)
+    classed = known.groupBy(F.col(risk).alias("risk"), cls.alias("cls")).count()
     levels = [
         F.struct(
             (F.shiftright("cls", b + 1) * F.lit(bits) + F.lit(b)).alias("grp"),
@@ -160,7 +162,7 @@ def concordance_index(df: DataFrame, risk: str, duration: str = "duration", even
         "lost": F.coalesce(F.sum(F.when(first, F.col("count"))), F.lit(0)),
         "kept": F.coalesce(F.sum(F.when(F.col("bit") == 1, F.col("count"))), F.lit(0)),
     }
-    ladder = running_sums(spread, "risk", counts, ["grp"])
+    ladder = running_sums(spread, "risk", counts, ["grp"], cuts)
     per_group = ladder.groupBy("grp").agg(
         F.sum(F.col("lost").cast("double") * F.col("kept_before")).alias("won"),
         F.sum(F.col("lost").cast("double") * F.col("kept")).alias("tied"),

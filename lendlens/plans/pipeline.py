@@ -63,8 +63,7 @@ def feature_stage(spark: SparkSession, folder: str) -> DataFrame:
     """Write the feature table: coded and published features, raw categories kept."""
     apps, inst = _table(spark, folder, "applications_cleaned"), _table(spark, folder, "installments_cleaned")
     wide = features.metadata_app_features(features.application_features(apps))
-    clients = features.instalment_features(inst).join(features.metadata_inst_features(inst), "SK_ID_CURR")
-    joined = features.attach_instalments(wide, clients)
+    joined = features.attach_instalments(wide, features.client_features(inst))
     return io.write_parquet(joined.fillna(0, clean.numeric_columns(joined)), f"{folder}/features")
 
 

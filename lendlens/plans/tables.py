@@ -45,10 +45,8 @@ def feature_table(at: Inputs) -> DataFrame:
 
 def full_features(at: Inputs) -> DataFrame:
     """Every coded and published feature, one row per application, no gaps in numbers."""
-    lines = clean_lines(at)
     apps = features.metadata_app_features(features.application_features(clean_apps(at)))
-    inst = features.instalment_features(lines).join(features.metadata_inst_features(lines), "SK_ID_CURR")
-    joined = features.attach_instalments(apps, inst)
+    joined = features.attach_instalments(apps, features.client_features(clean_lines(at)))
     return joined.fillna(0, clean.numeric_columns(joined))
 
 

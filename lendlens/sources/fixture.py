@@ -82,12 +82,20 @@ def instalment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.selectExpr(*(f"{text} as {name}" for name, text in fields.items()))
 
 
-def known_clients(df: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep rows whose application exists (order keys are unique)."""
-    keys = table(df.sparkSession, sf_dir, "orders").selectExpr("o_orderkey as SK_ID_CURR")
-    return df.join(keys, "SK_ID_CURR", "left_semi")
+def _client_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey as SK_ID_CURR")
+
+
+def known_clients(aggregated: DataFrame, sf_dir: str) -> DataFrame:
+    """Client-level rows whose application exists.
+
+    Order keys are unique, so an inner join filters. It is preferred to a semi
+    join here because the optimizer moves a semi join below the aggregate,
+    where it would shuffle every raw payment row.
+    """
+    return aggregated.join(_client_keys(aggregated.sparkSession, sf_dir), "SK_ID_CURR")
 
 
 def instalments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Instalment rows of existing applications."""
-    return known_clients(instalment_lines(spark, sf_dir), sf_dir)
+    return instalment_lines(spark, sf_dir).join(_client_keys(spark, sf_dir), "SK_ID_CURR", "left_semi")

@@ -106,6 +106,16 @@ def test_top_bottom_breaks_ties_by_key(skewed, limit):
     assert {r["SK_ID_CURR"] for r in tails if r["tail"] == "bottom"} == set(ordered[2400:])
 
 
+def test_sample_splits_shared_hashes_by_key(spark):
+    """Keys 2**31 apart share a hash; the smaller key is taken first."""
+    keys = [k + shift for k in range(50) for shift in (0, 2**31)]
+    df = spark.createDataFrame([(k,) for k in keys], "SK_ID_CURR bigint")
+    ordered = sorted(keys, key=lambda k: (k % 2**31 * 2654435761 % 2**32, k))
+    for limit in (10, 250_000):
+        found = {r[0] for r in sampling.hash_sample(df, 41, limit=limit).collect()}
+        assert found == set(ordered[:41])
+
+
 def test_high_risk_first_n(spark):
     df = spark.createDataFrame([(i, i / 10) for i in range(10)], "SK_ID_CURR bigint, PD double")
     keys = [r[0] for r in sampling.high_risk(df, first_n=9, top_k=1).collect()]

@@ -53,6 +53,13 @@ def test_client_aggregates(payments):
     assert cleaned[1]["DAYS_ENTRY_PAYMENT"] == -200 and cleaned[1]["AMT_PAYMENT"] == 0.0
 
 
+def test_one_pass_features_equal_both_sets(payments):
+    cleaned = clean.clean_instalments(payments)
+    both = features.instalment_features(cleaned).join(features.metadata_inst_features(cleaned), "SK_ID_CURR")
+    once = features.client_features(cleaned).select(*both.columns)
+    assert sorted(once.collect()) == sorted(both.collect())
+
+
 def test_row_scores_skip_nulls(spark):
     kind = "EXT_SOURCE_1 double, EXT_SOURCE_2 double, EXT_SOURCE_3 double, DAYS_BIRTH int, DEBT_TO_INCOME_RATIO double"
     row = features.ext_score_features(spark.createDataFrame([(0.2, None, 0.4, -3652, 0.5)], kind)).first()

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
-    """A single-JVM session for tests and the benchmark."""
-    return (
+def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) -> SparkSession:
+    """A single-JVM session for tests and the benchmark; ``extra`` settings use __ for dots."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("lendlens")
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -27,8 +27,10 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
-        .getOrCreate()
     )
+    for name, value in extra.items():
+        builder = builder.config(name.replace("__", "."), value)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:

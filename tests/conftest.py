@@ -13,7 +13,8 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 def spark():
     from lendlens.sources.session import local_session
 
-    session = local_session(8)
+    # Short jobs: skip the optimising compiler, keep few shuffle partitions.
+    session = local_session(8, 4, spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

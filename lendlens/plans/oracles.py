@@ -516,7 +516,7 @@ def _profit_sweep() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL per query key; keys without an entry have no SQL form (fits, sinks of files)."""
+    """SQL per query key; keys without an entry have no SQL form (model fits, a nested sink)."""
     o: dict[str, str] = {}
 
     # sources, sinks, profiling
@@ -756,6 +756,9 @@ def oracle_sql() -> dict[str, str]:
         "apps",
     )
 
+    # a reloaded model scores every application exactly as the fitted one
+    o["model_roundtrip"] = _with(_out("select count(*) as n, 0e0 as max_gap from apps", ["max_gap"]), "apps")
+
     # joins and aggregations
     repay_doubles = [
         "AVG_DPD",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lendlens.plans import pipeline
+from lendlens.plans import stages
 from lendlens.sources import fixture
 
 SF = "/root/testdata/sf0.001"
@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 def test_stages_write_their_outputs(spark, tmp_path):
     folder = str(tmp_path / "out")
     apps, inst = fixture.applications(spark, SF), fixture.instalments(spark, SF)
-    pipeline.run_all(apps, inst, folder, trees=(2, 2, 2))
+    stages.run_all(apps, inst, folder, trees=(2, 2, 2))
     losses = spark.read.parquet(f"{folder}/expected_loss")
     assert losses.count() == 1500 and losses.where("EXPECTED_LOSS < 0 or LGD not between 0.05 and 0.95").count() == 0
     made = {p.name for p in (tmp_path / "out" / "reports").iterdir()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendlens.llm import language_id, packing, token_counts, toxicity
+from lendlens.llm import decontaminate, language_id, minhash, packing, span_dedup, token_counts, toxicity
 from lendlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs, profiles).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.fit(toxicity.labelled(docs, labels.where(remainder("doc_id", 4) != 2)))
@@ -33,13 +37,31 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out, "score", predicted)
 
 
+def op7_span_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found, name = span_dedup.dedup_spans(table(spark, folder, "documents"))
+    return found.select("doc_id", f"{name}.n_sentences", f"{name}.n_removed", f"{name}.text")
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, folder, "documents"), str(path))
 
 
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_language_id, op6_toxicity, op9_packing)}
+    found = (
+        op1_token_counts,
+        op2_language_id,
+        op4_decontamination,
+        op6_toxicity,
+        op7_span_dedup,
+        op9_packing,
+        op10_minhash,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,8 +1,8 @@
 """Near-duplicate groups by MinHash banding, signature and set verification, and connected components.
 
 Nodes are the distinct shingle sets; copies share one. A bucket of a band never emits its pairs:
-its members are first compared with the bucket's least node. Only buckets whose other members then
-still lie in several components are gone through in blocks, inside tasks, on signatures alone.
+its members are first compared with the bucket's least node. Buckets whose other members then still
+lie in several components are gone through in blocks, inside tasks, which return links only.
 """
 
 from __future__ import annotations
@@ -127,7 +127,13 @@ def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(agree("sa", "sb")).select("a", "b")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``i, t`` of the documents in ``nodes`` (column ``i``), each once."""
+    found = docs.join(nodes.distinct(), "i", "left_semi").groupBy("i").agg(F.min("t").alias("t"))
+    return stage(found, "minhash-texts")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of ids whose whole shingle sets reach the similarity."""
 
     @F.pandas_udf("boolean")
@@ -137,44 +143,115 @@ def _linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             if other is not last and other != last:
                 last, held = other, shingles(other)
             mine = shingles(one)
-            at = np.searchsorted(held, mine)
-            common = int((held[at.clip(max=len(held) - 1)] == mine).sum()) if len(held) else 0
+            common = _common(mine, held)
             out.append(100 * common >= PERCENT * (len(held) + len(mine) - common) and common > 0)
         return pd.Series(out, dtype=bool)
 
-    pairs = stage(pairs, "minhash-pairs")
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "i")
-    texts = docs.join(wanted, "i", "left_semi").groupBy("i").agg(F.min("t").alias("t"))
-    texts = stage(texts, "minhash-texts")
     a = texts.select(F.col("i").alias("a"), F.col("t").alias("ta"))
     b = texts.select(F.col("i").alias("b"), F.col("t").alias("tb"))
     return pairs.join(a, "a").join(b, "b").where(similar("ta", "tb")).select("a", "b")
 
 
-def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of members (``key, node, component, c``) of one bucket but different components whose signatures agree.
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    if not len(x) or not len(y):
+        return 0
+    return int((y[np.searchsorted(y, x).clip(max=len(y) - 1)] == x).sum())
 
-    A bucket is dealt in blocks of ``BLOCK`` members; each pair of blocks is one group, compared
-    in a task, so that no row is made for a pair that fails.
-    """
-    least = int(AGREEMENT * len(_MULTIPLY))
 
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        sig = np.frombuffer(b"".join(group["sig"]), "<u4").reshape(len(group), -1)
-        part, node = group["component"].to_numpy(), group["node"].to_numpy()
-        out = [np.zeros((0, 2), np.int64)]
-        for k in range(len(group) - 1):
-            near = ((sig[k + 1 :] == sig[k]).sum(axis=1) >= least) & (part[k + 1 :] != part[k])
-            others = node[k + 1 :][near]
-            out.append(np.column_stack([np.maximum(others, node[k]), np.minimum(others, node[k])]))
-        return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+def _compact(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, small, half``: the lowest byte of each minimum, and the lower halves of the set's hashes, sorted."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            small, half = [], []
+            for text in batch["t"]:
+                found = shingles(text)
+                small.append(signature(found).astype(np.uint8).tobytes())
+                half.append(np.sort(found.astype("<u4")).tobytes())
+            yield pd.DataFrame({"node": batch["i"], "small": small, "half": half})
+
+    chosen = texts.join(nodes.select(F.col("node").alias("i")).distinct(), "i", "left_semi")
+    return stage(chosen.mapInPandas(run, "node bigint, small binary, half binary"), "minhash-compact")
 
-    blocks = F.ceil(F.col("c") / F.lit(float(BLOCK))).cast("int")
-    dealt = members.join(sets.select("node", "sig"), "node").withColumn("n", blocks)
-    mine = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
-    dealt = dealt.withColumn("m", mine).withColumn("o", F.explode(F.expr("sequence(0, n - 1)")))
-    dealt = dealt.select("key", "node", "component", "sig", F.least("m", "o").alias("x"), F.greatest("m", "o").alias("y"))
-    return dealt.groupBy("key", "x", "y").applyInPandas(compare, "a bigint, b bigint").distinct()
+
+class _Forest:
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (up := self.above.get(x, x)) != x:
+            self.above[x] = self.above.get(up, up)
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.above[self.root(x)] = self.root(y)
+
+
+def _compare(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between the components of one group of bucket members, just enough of them to join what can be joined.
+
+    Signatures drop most pairs; the halves of the hashes never count too few shared shingles, so
+    no link is missed. Each pair is looked at in the first band that it shares only.
+    """
+    group = group.sort_values(["visitor", "node"], kind="stable")
+    small = np.frombuffer(b"".join(group["small"]), np.uint8).reshape(len(group), -1)
+    part, node, visitor = (group[c].to_numpy() for c in ("component", "node", "visitor"))
+    band, main = int(group["band"].iloc[0]), group["main"].to_numpy()
+    sets = [np.frombuffer(x, "<u4") for x in group["half"]]
+    size = np.array([len(x) for x in sets])
+    own = int((~visitor).sum())
+    within = bool(group["first"].iloc[0])
+    least = int(AGREEMENT * small.shape[1])
+    forest, out = _Forest(), []
+    for k in range(len(group)):
+        others = slice(k + 1 if k < own else 0, own)
+        if k < own and not within:
+            continue
+        equal = small[others] == small[k]
+        near = (equal.sum(axis=1) >= least) & (part[others] != part[k])
+        near &= 100 * np.minimum(size[others], size[k]) >= PERCENT * np.maximum(size[others], size[k])
+        if k >= own:  # of two visitors to each other's blocks one pair is enough
+            near &= main[others] | (node[others] > node[k])
+        if band:
+            near &= ~equal[:, : band * ROWS].reshape(len(equal), band, ROWS).all(axis=2).any(axis=1)
+        for j in np.flatnonzero(near) + others.start:
+            x, y = int(part[k]), int(part[j])
+            if forest.root(x) == forest.root(y):
+                continue
+            common = _common(sets[k], sets[j])
+            if 100 * common >= PERCENT * (size[k] + size[j] - common):
+                forest.join(x, y)
+                out.append((max(node[k], node[j]), min(node[k], node[j])))
+    return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"])
+
+
+def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` that link components of bucket members ``key, band, node, component``.
+
+    In each bucket the members of its largest component need no comparison with each other. All
+    members are dealt in blocks of ``BLOCK``; members of the other components, in stretches, visit
+    every block. So a group is bounded, and rows are made for members only, never for pairs.
+    """
+    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("x"), F.sum("n").alias("all"))
+    blocks = F.ceil(F.col("all") / F.lit(float(BLOCK))).cast("int").alias("blocks")
+    stretches = F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("x.n")) / F.lit(4.0 * BLOCK)).cast("int"))
+    sizes = sizes.select("key", F.col("x.component").alias("largest"), blocks, stretches.alias("stretches"))
+    placed = members.join(sizes, "key").withColumn("main", F.col("component") == F.col("largest"))
+    place = lambda seed, n: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
+    placed = placed.withColumn("block", place(1, "blocks")).withColumn("stretch", place(2, "stretches"))
+    kept = ("key", "band", "node", "component", "main")
+    own = placed.select(
+        *kept, F.lit(False).alias("visitor"), "block", F.explode(F.expr("sequence(0, stretches - 1)")).alias("stretch")
+    )
+    visits = placed.where("not main and blocks > 1").select(
+        *kept, F.lit(True).alias("visitor"), "block", "stretch", F.explode(F.expr("sequence(0, blocks - 1)")).alias("at")
+    )
+    visits = visits.where("at != block").select(*kept, "visitor", F.col("at").alias("block"), "stretch")
+    dealt = own.union(visits).withColumn("first", F.col("stretch") == 0)
+    dealt = dealt.join(_compact(texts, members), "node")
+    return dealt.groupBy("key", "block", "stretch").applyInPandas(_compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -196,19 +273,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     width = 4 * ROWS
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 1 + k * width, width)) for k in range(BANDS)])
-    entries = sets.select("node", F.explode(bands).alias("key"))
+    entries = sets.select("node", F.posexplode(bands).alias("band", "key"))
     buckets = entries.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = stage(entries.join(buckets, "key").where("node != least"), "minhash-buckets")
     stars = shared.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    first = stage(_linked(_agreeing(stars, sets), rows), "minhash-links")
+    pairs = stage(_agreeing(stars, sets), "minhash-pairs")
+    crowded = shared.where("c > 2").select("key", "band", "node")
+    nodes = pairs.select(F.col("a").alias("i")).union(pairs.select("b")).union(crowded.select("node"))
+    texts = _texts(rows, nodes)
+    first = stage(_linked(pairs, texts), "minhash-links")
     groups = stage(components(first), "minhash-groups")
-    placed = shared.where("c > 2").join(groups, "node", "left")
-    placed = placed.select("key", "node", "c", F.coalesce("component", "node").alias("component"))
-    placed = stage(placed, "minhash-placed")
+    placed = crowded.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = stage(placed.select("key", "band", "node", "component"), "minhash-placed")
     split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = placed.join(split.select("key"), "key", "left_semi")
-    more = _across(rest, sets).join(stars, ["a", "b"], "left_anti")
-    second = stage(_linked(more, rows), "minhash-more-links")
+    rest = stage(placed.join(split.select("key"), "key", "left_semi"), "minhash-rest")
+    second = stage(_linked(_across(rest, texts), texts), "minhash-more-links")
     if not second.isEmpty():
         groups = components(first.union(second))
     named = sets.select("s1", "s2", "node").join(groups, "node", "left")

@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendlens.llm import decontaminate, language_id, minhash, packing, span_dedup, token_counts, toxicity
+from lendlens.llm import (
+    chat,
+    decontaminate,
+    language_id,
+    minhash,
+    neighbours,
+    packing,
+    span_dedup,
+    token_counts,
+    toxicity,
+)
 from lendlens.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +39,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.fit(toxicity.labelled(docs, labels.where(remainder("doc_id", 4) != 2)))
@@ -42,6 +56,10 @@ def op7_span_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", f"{name}.n_sentences", f"{name}.n_removed", f"{name}.text")
 
 
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.render(table(spark, folder, "conversations"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, folder, "documents"), str(path))
@@ -56,8 +74,10 @@ def queries() -> dict[str, Query]:
         op1_token_counts,
         op2_language_id,
         op4_decontamination,
+        op5_neighbours,
         op6_toxicity,
         op7_span_dedup,
+        op8_chat,
         op9_packing,
         op10_minhash,
     )
@@ -65,4 +85,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat": chat.RENDER_SQL}

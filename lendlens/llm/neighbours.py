@@ -56,7 +56,8 @@ def _hashed(vectors: DataFrame, length: float, width: float, tables: int, hashes
     """``v, t, h`` with ``h`` the hash of a bucket in table ``t``: of its own with ``probes`` 0, of all visited else."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        salt = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(hashes + 1)], np.uint64)
+        size_salt, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
+        salt = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(hashes)], np.uint64)
         for batch in batches:
             sizes = batch["e"].map(len)
             for size in sizes.unique():
@@ -77,7 +78,7 @@ def _hashed(vectors: DataFrame, length: float, width: float, tables: int, hashes
                                     moved[n, t, k, i] += step
                 else:
                     moved, found = home[:, :, None, :], np.ones((len(x), tables, 1), bool)
-                keys = (moved.astype(np.uint64) * salt[:hashes]).sum(axis=-1) + np.uint64(size) * salt[hashes]
+                keys = (moved.astype(np.uint64) * salt).sum(axis=-1) + np.uint64(int(size) * size_salt & mask)
                 n, t, k = np.nonzero(found)
                 yield pd.DataFrame({"v": part["v"].to_numpy()[n], "t": t, "h": keys[n, t, k].view(np.int64)})
 

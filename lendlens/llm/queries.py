@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lendlens.llm import (
     chat,
     decontaminate,
+    html_text,
     language_id,
     minhash,
     neighbours,
@@ -35,6 +36,10 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs, profiles).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.main_text(table(spark, folder, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -73,6 +78,7 @@ def queries() -> dict[str, Query]:
     found = (
         op1_token_counts,
         op2_language_id,
+        op3_html,
         op4_decontamination,
         op5_neighbours,
         op6_toxicity,

@@ -11,11 +11,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: Code points handled at once inside a task, so that long texts don't multiply into large arrays.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+#: Bytes that Spark hands to a Python worker at once, unless the session's own configuration says otherwise.
+BATCH_KEY, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and get texts in small batches."""
+    if not spark.sparkContext.getConf().contains(BATCH_KEY):
+        spark.conf.set(BATCH_KEY, BATCH)
     env = spark.sparkContext.environment
     known = env.get("PYTHONPATH", "")
     if ROOT not in known.split(os.pathsep):

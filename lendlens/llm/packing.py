@@ -24,7 +24,7 @@ PIECE = 2048
 #: Pieces balanced together; bounds a task's memory and the cost of the differencing.
 BLOCK = 2048
 #: Chunks of text whose ids a worker remembers (about 200 bytes each); beyond it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 450_000
 END_OF_TEXT = 1
 
 SCHEMA = (

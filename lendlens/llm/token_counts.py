@@ -22,7 +22,7 @@ STRETCH = re.compile(f"{MARK}+[^{MARK}]*")
 #: An unknown character costs this much more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 #: Counts a worker remembers of stretches, and of words (about 130 bytes each); beyond it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
 
 
 class Counter:

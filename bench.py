@@ -15,31 +15,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from lendlens.plans.registry import queries  # noqa: E402
 from lendlens.sources.session import local_session  # noqa: E402
 
-# Not timed by default: they repeat the work of another entry (a fit, a curve or a loss table).
-REPEATS = {
-    "hazard_ratios",
-    "term_structure",
-    "km_milestones",
-    "fit_gbt_benchmark",
-    "feature_importance",
-    "pd_score",
-    "model_roundtrip",
-    "json_report",
-    "parquet_roundtrip",
-    "clean_applications",
-    "pr_auc_trapezoid",
-    "disparate_impact",
-    "contract_breakdown",
-    "dpd_velocity",
-}
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     known = queries()
     listed = os.environ.get("BENCH_QUERIES")
-    chosen = listed.split(",") if listed else [q for q in known if q not in REPEATS]
+    chosen = listed.split(",") if listed else list(known)
     spark = local_session(cpus, partitions=int(cpus) if cpus.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
     known["target_distribution"](spark, sf_dir).collect()  # start the session before timing

@@ -10,6 +10,7 @@ from lendlens.functions.columns import cap_at, floor_at
 from lendlens.operators.features import credit_term
 from lendlens.operators.prefix import find_cuts, running_sums
 from lendlens.operators.quantiles import exact_medians, exact_quantiles
+from lendlens.sources.session import stage
 
 # Default covariates, tier names and horizons.
 COVARIATES = (
@@ -134,21 +135,26 @@ def km_milestones(curve: DataFrame, by: str = "tier", months: Sequence[int] = MI
 
 
 def concordance_index(df: DataFrame, risk: str, duration: str = "duration", event: str = "event") -> DataFrame:
-    """Harrell's C of a risk score; durations are rounded up to whole months (at most 60).
+    """Harrell's C of a risk score, on the durations as they are.
 
     A pair counts when one client defaults and the other is known to last
-    longer; equal months count only as default against censored. Give each row
-    the class 2 * month + censored: a defaulted row is then comparable with
-    every row of a higher class. Writing classes in binary, any such pair first
-    differs at exactly one bit, so it is met once, under (bit, common prefix):
-    seven groupings of the rows replace all pairs.
+    longer; equal durations count only as default against censored. Give each
+    row the class 2 * (rank of its distinct duration) + censored: a defaulted
+    row is then comparable with every row of a higher class. Writing classes in
+    binary, any such pair first differs at exactly one bit, so it is met once,
+    under (bit, common prefix): log2(distinct durations) + 1 groupings of the
+    rows replace all pairs. Rows without a risk or duration are left out.
     """
-    month = F.least(F.lit(MAX_MONTHS), F.greatest(F.lit(1), F.ceil(F.col(duration)))).cast("int")
-    cls = 2 * month + (1 - F.col(event))
-    bits = (2 * MAX_MONTHS + 1).bit_length()
-    known = df.where(F.col(risk).isNotNull())
-    cuts = find_cuts(known, risk)
-    classed = known.groupBy(F.col(risk).alias("risk"), cls.alias("cls")).count()
+    known = df.where(F.col(risk).isNotNull() & F.col(duration).isNotNull())
+    known = known.select(F.col(risk).alias("risk"), F.col(duration).cast("double").alias("t"), F.col(event).alias("event"))
+    counted = stage(known.groupBy("risk", "t", "event").count(), "concordance")
+    times = counted.select("t").distinct()
+    cuts = find_cuts(times, "t")
+    place = running_sums(times, "t", {"n": F.count(F.lit(1))}, cuts=cuts).select("t", F.col("n_before").alias("place"))
+    bits = max(1, (2 * times.count() + 1).bit_length())
+    cls = (2 * F.col("place") + (1 - F.col("event"))).cast("bigint")
+    classed = counted.join(place, "t").groupBy("risk", cls.alias("cls")).agg(F.sum("count").alias("count"))
+    cuts = find_cuts(counted, "risk")
     levels = [
         F.struct(
             (F.shiftright("cls", b + 1) * F.lit(bits) + F.lit(b)).alias("grp"),

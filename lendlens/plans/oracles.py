@@ -1099,6 +1099,6 @@ _cte(
 )
 _cte(
     "cidx",
-    """select event, -4e0*(EXT_SOURCE_MEAN-5e-1) as risk, least(60,greatest(1,cast(ceil(duration) as integer))) as m from surv""",
+    """select event, -4e0*(EXT_SOURCE_MEAN-5e-1) as risk, cast(duration as double) as m from surv""",
     "surv",
 )

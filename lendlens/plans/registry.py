@@ -111,8 +111,8 @@ def load_installments(at):
 
 @query()
 def parquet_roundtrip(at):
-    cleaned = t.clean_apps(at).select("SK_ID_CURR", "TARGET", "AMT_ANNUITY", "CODE_GENDER", "AGE_YEARS")
-    return io.write_parquet(cleaned, fresh_path(at[0], "cleaned"))
+    back = io.write_parquet(t.clean_apps(at), fresh_path(at[0], "cleaned"))
+    return back.select("SK_ID_CURR", "TARGET", "AMT_ANNUITY", "CODE_GENDER", "AGE_YEARS")
 
 
 @query(None)
@@ -135,7 +135,7 @@ def json_report(at):
 @query()
 def model_roundtrip(at):
     rows = stage(t.feature_table(at).select("SK_ID_CURR", "TARGET", *FEATURE_COLUMNS), "features")
-    model = learn.fit_logistic(rows, FEATURE_COLUMNS, max_iter=20)
+    model = learn.fit_logistic(rows, FEATURE_COLUMNS)
     path = fresh_path(at[0], "model")
     model.write().overwrite().save(path)
     reloaded = learn.PipelineModel.load(path)
@@ -748,7 +748,7 @@ def fit_gbt_champion(at):
 @query()
 def pd_score(at):
     rows, names = _training_rows(at)
-    model = learn.fit_logistic(rows.where("split = 'train'"), names, max_iter=50)
+    model = learn.fit_logistic(rows.where("split = 'train'"), names)
     return learn.score(model, rows).select("SK_ID_CURR", "PD")
 
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, IntegralType, StringType, StructType
 
 # Schemas of the two source tables as exchanged in CSV (the columns used here).
 APPLICATION_SCHEMA = (
@@ -22,6 +22,30 @@ INSTALMENT_SCHEMA = (
 )
 
 
+#: Spellings of a missing value in CSV fields (fixed values).
+MISSING = ("", "NA", "NaN", "nan", "NULL", "null", "None")
+
+
+def _parsed(name: str, kind: DataType) -> Column:
+    """A text field as ``kind``; a field that is neither missing nor of that kind raises."""
+    text = F.trim(F.col(name))
+    absent = F.col(name).isNull() | text.isin(*MISSING)
+    if isinstance(kind, StringType):
+        return F.when(~absent, F.col(name))
+    value = text.try_cast(kind)
+    if isinstance(kind, IntegralType):  # whole numbers may be written with a fraction, like -1180.0
+        number = text.try_cast("double")
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+    said = F.concat(F.lit(f"column {name} can't be read as {kind.simpleString()}: "), F.col(name))
+    return F.when(~absent, F.coalesce(value, F.raise_error(said).cast(kind)))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Not-a-number is a missing value, as files written by pandas have it."""
+    kinds = {c for c, kind in df.dtypes if kind in ("double", "float")}
+    return df.select(*(F.when(~F.isnan(c), F.col(c)).alias(c) if c in kinds else F.col(c) for c in df.columns))
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -29,10 +53,21 @@ def read_csv(
     usecols: Sequence[str] | None = None,
     nrows: int | None = None,
 ) -> DataFrame:
-    """CSV with a header and an explicit schema; a missing path raises AnalysisException."""
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-    if usecols is not None:
-        df = df.select(*usecols)
+    """CSV with a header; columns are found by name, in any order.
+
+    Columns that the schema names get its types, checked field by field; columns beyond it are kept
+    with inferred types; columns that the file lacks are absent. Missing values and NaN are null. A
+    missing path raises AnalysisException.
+    """
+    known = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = {f.name: f.dataType for f in known.fields}
+    df = spark.read.option("header", True).csv(path)
+    wanted = list(df.columns if usecols is None else usecols)
+    more = [c for c in wanted if c not in kinds]
+    if more:  # one more pass over the file, for these columns' types
+        guess = spark.read.option("header", True).option("inferSchema", True).option("nullValue", "NaN").csv(path).schema
+        kinds |= {c: guess[c].dataType for c in more}
+    df = nan_to_null(df.select(*(_parsed(c, kinds[c]).alias(c) for c in wanted)))
     return df if nrows is None else df.limit(nrows)
 
 

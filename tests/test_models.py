@@ -189,6 +189,24 @@ def test_concordance_against_pairs(times):
     assert r["c_index"] == pytest.approx((won + tied / 2) / total)
 
 
+def test_concordance_keeps_fractions_and_long_durations(spark):
+    rng = np.random.default_rng(8)
+    rows = [(float(d), int(e), float(r)) for d, e, r in zip(rng.random(150) * 150, rng.integers(0, 2, 150), rng.random(150).round(1))]
+    rows += [(70.0, 1, 0.5), (80.0, 1, 0.4), (100.0, 0, 0.3), (10.2, 1, 0.9), (10.8, 1, 0.9)]
+    want = [0, 0, 0]
+    for (d, e, r), (later, other, low) in product(rows, rows):
+        if e == 1 and (later > d or (later == d and other == 0)):
+            want = [want[0] + (low < r), want[1] + (low == r), want[2] + 1]
+    rows.append((None, 1, 0.1))
+    got = survival.concordance_index(spark.createDataFrame(rows, "duration double, event int, risk double"), "risk").first()
+    assert [got["concordant"], got["tied"], got["comparable"]] == want
+
+
+def test_cox_says_when_it_did_not_converge(times):
+    with pytest.raises(RuntimeError, match="no convergence"):
+        cox.cox_fit(times[0], ["a", "b"], max_steps=1)
+
+
 def test_cox_satisfies_score_equation(times):
     df, frame = times
     model = cox.cox_fit(df, ["a", "b"])

@@ -133,3 +133,15 @@ def test_csv_reader(spark, tmp_path):
     assert io.read_csv(spark, str(tmp_path / "s"), df.schema, usecols=["A"], nrows=5).columns == ["A"]
     with pytest.raises(AnalysisException):
         io.load_applications(spark, str(tmp_path / "absent"))
+
+
+def test_csv_columns_are_found_by_name_and_checked(spark, tmp_path):
+    text = "EXTRA,TARGET,SK_ID_CURR,DAYS_EMPLOYED,AMT_CREDIT,WORD\n7,1,100001,-1180.0,NaN,x\n8,0,100002,,2.5,NaN\n"
+    (tmp_path / "a.csv").write_text(text)
+    back = io.read_csv(spark, str(tmp_path / "a.csv"), "SK_ID_CURR bigint, TARGET int, DAYS_EMPLOYED int, AMT_CREDIT double, GONE int")
+    assert back.columns == ["EXTRA", "TARGET", "SK_ID_CURR", "DAYS_EMPLOYED", "AMT_CREDIT", "WORD"]
+    assert dict(back.dtypes)["EXTRA"] == "int"
+    assert [tuple(r) for r in back.collect()] == [(7, 1, 100001, -1180, None, "x"), (8, 0, 100002, None, 2.5, None)]
+    (tmp_path / "b.csv").write_text("SK_ID_CURR,TARGET\n1,maybe\n")
+    with pytest.raises(Exception, match="TARGET can't be read"):
+        io.read_csv(spark, str(tmp_path / "b.csv"), "SK_ID_CURR bigint, TARGET int").collect()

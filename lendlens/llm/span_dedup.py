@@ -16,9 +16,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from lendlens.llm.common import ready
+from lendlens.sources.session import stage
 
 #: Words that a span has at least; it ends with the sentence that reaches them.
 SPAN_WORDS = 30
+#: A span with more than this part of all repeated places is joined in several parts, each of about that size.
+PARTS = 1024
 
 #: A sentence ends behind a full stop, exclamation or question mark before white space, or at a line's end.
 _SENTENCE = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)[^\S\n]*|\n\s*|\Z)", re.S)
@@ -104,19 +107,27 @@ def dedup_spans(
     Texts with fewer than ``words`` words have no span. A null text stays null; rows with a null
     id are left as they are and not compared. Rows that repeat an id and text count as the same
     place, so none of them is cut because of the other. Sentences without a word belong to no
-    span's start. Hot spans are counted before the shuffle; the join back can be split.
+    span's start. Hot spans are reduced before the shuffle, and dealt to many tasks in the join back.
     """
     ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).alias("t"))
     found = _span_rows(rows, words)
     place = F.struct("i", "s")
-    first = (
+    first = stage(
         found.groupBy("h1", "h2")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n"))
         .where("first != last")
-        .select("h1", "h2", "first")
+        .select("h1", "h2", "first", "n"),
+        "span-first",
     )
-    again = found.join(first, ["h1", "h2"]).where(place != F.col("first"))
+    places = first.agg(F.sum("n").alias("n")).first().n or 1
+    first = first.withColumn("ways", F.ceil(F.col("n") * PARTS / F.lit(places)).cast("int")).drop("n")
+    # fewer than PARTS spans can have that many places, so this table is small at any size of the corpus
+    hot = F.broadcast(first.where("ways > 1").select("h1", "h2", "ways"))
+    salt = F.pmod(F.xxhash64("i", "s"), F.coalesce("ways", F.lit(1))).cast("int").alias("salt")
+    dealt = found.join(hot, ["h1", "h2"], "left").select("h1", "h2", "i", "s", salt)
+    copies = F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt")
+    again = dealt.join(first.select("h1", "h2", "first", copies), ["h1", "h2", "salt"]).where(place != F.col("first"))
     starts = again.groupBy("i").agg(F.collect_set("s").alias("s"))
     name, key, part = (f"{x}_{'_'.join(docs.columns)}" for x in ("kept", "key", "part"))  # clash with no column
     starts = starts.select(F.col("i").alias(key), F.col("s").alias(part))

@@ -15,7 +15,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
-from lendlens.llm.common import code_points, grouped, mix, ready
+from lendlens.llm.common import CHUNK, code_points, grouped, mix, ready
 from lendlens.sources.session import stage
 
 ORDERS = (3, 4, 5)
@@ -28,11 +28,10 @@ SMOOTHING = 1.0
 THRESHOLD = 0.3
 
 
-def _gram_buckets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _gram_buckets(lowered: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Owners and buckets of the n-grams of lower-cased texts, order by order."""
-    lowered = [t.lower() for t in texts]
     points = code_points("".join(lowered)).astype(np.uint64)
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
+    owner = np.repeat(np.arange(len(lowered)), [len(t) for t in lowered])
     shift = np.uint64(64 - BUCKETS.bit_length() + 1)
     rolling = points + np.uint64(1)
     for n in range(2, max(ORDERS) + 1):
@@ -46,17 +45,28 @@ def _gram_buckets(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def present(texts: list[str], place: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, feature) pairs. ``place``: the feature of each bucket, -1 for those not kept."""
-    owners, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for owner, buckets in _gram_buckets(texts):
-        if place is not None:
-            buckets = place[buckets]
-            kept = buckets >= 0
-            owner, buckets = owner[kept], buckets[kept]
-        owners.append(owner)
-        found.append(buckets)
-    pairs = np.unique(np.concatenate(owners) * BUCKETS + np.concatenate(found))
-    return pairs // BUCKETS, pairs % BUCKETS
+    """Distinct (text, feature) pairs. ``place``: the feature of each bucket, -1 for those not kept.
+
+    Long texts are gone through in overlapping stretches, so that memory is bounded by a stretch.
+    """
+    stretches, owners = [], []
+    for k, text in enumerate(texts):
+        lowered = text.lower()
+        cuts = range(0, len(lowered), CHUNK)
+        stretches += [lowered[max(0, at - max(ORDERS) + 1) : at + CHUNK] for at in cuts]
+        owners += [k] * len(cuts)
+    of, pairs = np.array(owners, np.int64), [np.zeros(0, np.int64)]
+    for start, part in grouped(stretches):
+        held = [pairs[0]]
+        for owner, buckets in _gram_buckets(part):
+            if place is not None:
+                buckets = place[buckets]
+                kept = buckets >= 0
+                owner, buckets = owner[kept], buckets[kept]
+            held.append(of[start + owner] * BUCKETS + buckets)
+        pairs.append(np.unique(np.concatenate(held)))
+    found = np.unique(np.concatenate(pairs)) if len(pairs) > 2 else pairs[-1]
+    return found // BUCKETS, found % BUCKETS
 
 
 @dataclass

@@ -29,7 +29,7 @@ def score_ladder(df: DataFrame, label: str, score: str, by: Sequence[str] = ())
     ladder = running_sums(known, score, {"pos": pos, "neg": neg}, by)
     totals = known.groupBy(*by).agg(pos.alias("n_pos"), neg.alias("n_neg"))
     if by:
-        return ladder.join(F.broadcast(totals), list(by))
+        return ladder.join(totals, list(by))
     row = totals.first()
     return ladder.withColumns({"n_pos": F.lit(row["n_pos"]), "n_neg": F.lit(row["n_neg"])})
 

@@ -4,7 +4,9 @@ Spark's ``percentile`` keeps every distinct value of a column in one task.
 Here each pass is a map-side scan with a tiny aggregate: a quantile sketch
 names two bracketing values, exact counts tell which side of them holds the
 wanted rank, and the interval shrinks by a factor of thousands until the few
-values left can be sorted. Results are exact, whatever the sketch says.
+values left can be sorted. Results are exact, whatever the sketch says: where it
+names no value that narrows the interval (integers too large for a double), the
+interval is halved instead.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ class _Search:
     high: object = None
     found: object = None
     done: bool = False
+    stuck: bool = False
 
     def inside(self) -> Column:
         keep = self.value.isNotNull()
@@ -43,6 +46,13 @@ class _Search:
             keep = keep & (self.value < F.lit(self.high))
         return F.when(keep, self.value)
 
+    def cut(self, low: object, high: object) -> None:
+        """Narrow the interval; ends outside it (a rounded sketch) leave it as it is."""
+        if low is not None and (self.low is None or low > self.low):
+            self.low = low
+        if high is not None and (self.high is None or high < self.high):
+            self.high = high
+
     def settle(self, value: object) -> None:
         self.found, self.done = value, True
 
@@ -62,13 +72,23 @@ def _sketch(value: Column, share: float) -> Column:
     return F.percentile_approx(value, points, SKETCH_ACCURACY)
 
 
+def _middle(low, high):
+    """A value between the two, at either end at the most; exact for integers."""
+    return low + (high - low) // 2 if isinstance(low, int) else low / 2 + high / 2
+
+
 def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
-    """One sketch pass and one counting pass; every interval loses its ends."""
+    """One sketch pass and one counting pass; every interval loses its ends, or its half after a pass in vain."""
     plan = {}
     for i, s in enumerate(searches):
         share = (s.rank - s.below) / max(1, s.size - 1)
-        plan[f"s{i}"] = _sketch(s.inside(), share)
+        ends = F.array(F.min(s.inside()), F.max(s.inside()))
+        plan[f"s{i}"] = ends if s.stuck else _sketch(s.inside(), share)
     sketches = _run(df, plan)
+    for i, s in enumerate(searches):
+        if s.stuck:
+            sketches[f"s{i}"] = [_middle(*sketches[f"s{i}"])] * 2
+    sizes = [s.size for s in searches]
 
     plan = {}
     for i, s in enumerate(searches):
@@ -86,20 +106,25 @@ def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
             between = at_b = 0
         offset = s.rank - s.below
         if offset < before_a:
-            s.high, s.size = a, before_a
+            s.cut(None, a)
+            s.size = before_a
             continue
         if offset < before_a + at_a:
             s.settle(a)
             continue
         if a != b and offset < before_a + at_a + between:
-            s.low, s.high = a, b
+            s.cut(a, b)
             s.below, s.size = s.below + before_a + at_a, between
             continue
         if a != b and offset < before_a + at_a + between + at_b:
             s.settle(b)
             continue
         passed = before_a + at_a + between + at_b
-        s.low, s.below, s.size = b, s.below + passed, s.size - passed
+        s.cut(b, None)
+        s.below, s.size = s.below + passed, s.size - passed
+
+    for s, size in zip(searches, sizes):
+        s.stuck = s.size == size
 
 
 def _sort_rest(df: DataFrame, searches: Sequence[_Search]) -> None:

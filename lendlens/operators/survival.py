@@ -103,8 +103,7 @@ def kaplan_meier(df: DataFrame, by: str = "tier") -> DataFrame:
     cuts = find_cuts(df, "duration")
     ladder = running_sums(df, "duration", counts, [by], cuts)
     sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("size"))
-    # One row per group.
-    steps = ladder.join(F.broadcast(sizes), by).withColumn("at_risk", F.col("size") - F.col("exits_before"))
+    steps = ladder.join(sizes, by).withColumn("at_risk", F.col("size") - F.col("exits_before"))
     wiped = F.col("events") == F.col("at_risk")
     log_keep = F.when(wiped, 0.0).otherwise(F.ln(F.when(wiped, 1.0).otherwise(1 - F.col("events") / F.col("at_risk"))))
     # The step values ride on the same ranges: two more sums over distinct durations.

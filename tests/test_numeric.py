@@ -23,6 +23,14 @@ def skewed(spark):
     return stage(df.repartition(4)), frame
 
 
+def test_selection_ends_on_integers_too_large_for_a_double(spark):
+    base = (1 << 60) + 7
+    df = stage(spark.range(0, 300, 1, 4).select((F.lit(base) + F.col("id")).alias("x")))
+    wanted = [0, 1, 149, 298, 299]
+    n, values = select_ranks(df, {"x": (F.col("x"), lambda n: wanted)}, 10)["x"]
+    assert n == 300 and values == [base + k for k in wanted]
+
+
 @pytest.mark.parametrize("limit", [3, 40, 250_000])
 def test_quantiles_are_exact_at_any_limit(skewed, limit):
     df, frame = skewed

@@ -1,9 +1,12 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing, then exact scores.
 
-A vector gets one more coordinate that brings all to the same length, so that the nearest by
-distance has the largest inner product. Each table quantises a few Gaussian projections into a
-bucket. A query visits its bucket and then perturbed ones, in the order of their estimated success
-(the squared distances to the crossed boundaries). Candidates of all tables merge for exact scores.
+Vectors are hashed by direction, so that the lengths of others don't move them away from a query.
+Among vectors of about one length, the nearest by direction have the largest inner products. A
+much longer one is among the nearest at a wide angle, where hashing seldom finds it: vectors are
+split into ranges of length, and ranges of few vectors are searched whole. Each table quantises a
+few Gaussian projections into a bucket. A query visits its bucket and then perturbed ones, in the
+order of their estimated success (the squared distances to the crossed boundaries). Candidates of
+all tables merge for exact scores; a query that met too few is compared with all vectors.
 """
 
 from __future__ import annotations
@@ -21,9 +24,11 @@ from lendlens.sources.session import stage
 TABLES = 8
 #: Projections of a bucket; more of them, with more probes, for much larger tables.
 HASHES = 6
-#: Width of a quantisation step, in root mean square vector lengths.
+#: Width of a quantisation step; hashed vectors have length 1.
 WIDTH = 2.0
 PROBES = 24
+#: Greatest by least length of a range; a range of at most so many vectors is searched whole.
+RATIO, WHOLE = 1.25, 256
 #: Bucket members, and queries of a bucket, that one task compares at once.
 BLOCK = 2048
 
@@ -49,10 +54,10 @@ def perturbations(rest: np.ndarray, count: int) -> list[list[tuple[int, int]]]:
 
 def _projections(size: int, tables: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.Generator(np.random.Philox(key=size))
-    return draw.standard_normal((size + 1, tables * hashes)), draw.random(tables * hashes)
+    return draw.standard_normal((size, tables * hashes)), draw.random(tables * hashes)
 
 
-def _hashed(vectors: DataFrame, length: float, width: float, tables: int, hashes: int, probes: int) -> DataFrame:
+def _hashed(vectors: DataFrame, width: float, tables: int, hashes: int, probes: int) -> DataFrame:
     """``v, t, h`` with ``h`` the hash of a bucket in table ``t``: of its own with ``probes`` 0, of all visited else."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,9 +68,10 @@ def _hashed(vectors: DataFrame, length: float, width: float, tables: int, hashes
             for size in sizes.unique():
                 part = batch[sizes == size]
                 x = np.stack(part["e"].to_numpy()).astype(float)
-                spare = np.sqrt(np.maximum(length**2 - (x**2).sum(axis=1), 0)) if not probes else np.zeros(len(x))
+                x /= np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small numbers stay in range
+                x /= np.sqrt((x**2).sum(axis=1, keepdims=True))
                 a, b = _projections(int(size), tables, hashes)
-                place = (np.column_stack([x, spare]) @ a / width + b).reshape(len(x), tables, hashes)
+                place = (x @ a / width + b).reshape(len(x), tables, hashes)
                 home = np.floor(place).astype(np.int64)
                 if probes:
                     moved = np.repeat(home[:, :, None, :], probes, axis=2)
@@ -111,6 +117,46 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("i").isNotNull() & F.col("e").isNotNull()).where(fit).dropDuplicates(["i", "e"])
 
 
+def _ranged(vectors: DataFrame) -> DataFrame:
+    """``vectors`` with the number of components ``size`` and of the range of length ``span``."""
+    most = F.col("most")
+    square = F.aggregate("e", F.lit(0.0), lambda s, x: s + (x / most) * (x / most))
+    span = F.floor((F.log(most) + F.log(square) / 2) / F.log(F.lit(RATIO)) + 0.5)
+    rows = vectors.withColumn("most", F.array_max(F.transform("e", F.abs)))
+    return rows.select("v", "e", F.size("e").alias("size"), span.alias("span"))
+
+
+def _met(held: DataFrame, asks: DataFrame, distinct: DataFrame, most: int) -> DataFrame:
+    """``q, v``: the ``most`` best of what each query ``asks.v`` meets in the buckets ``t, h``, by approximate score."""
+    blocks = held.groupBy("t", "h").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK))).cast("int").alias("blocks"))
+    parts = asks.groupBy("t", "h").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK))).cast("int").alias("parts"))
+    both = blocks.join(parts, ["t", "h"])
+    spot = lambda n: F.pmod(F.xxhash64("v"), F.col(n)).cast("int")
+    mine = held.join(both, ["t", "h"]).select(
+        "v", "t", "h", spot("blocks").alias("x"), F.explode(F.expr("sequence(0, parts - 1)")).alias("y")
+    )
+    theirs = asks.join(both, ["t", "h"]).select(
+        "v", "t", "h", F.explode(F.expr("sequence(0, blocks - 1)")).alias("x"), spot("parts").alias("y")
+    )
+    dealt = mine.withColumn("ask", F.lit(False)).union(theirs.withColumn("ask", F.lit(True)))
+    dealt = dealt.join(distinct.select("v", "e"), "v")
+    met = dealt.groupBy("t", "h", "x", "y").applyInPandas(_nearest(most), "q bigint, v bigint, score double")
+    met = met.groupBy("q", "v").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "v")
+    return met.withColumn("r", F.row_number().over(order)).where(F.col("r") <= most).select("q", "v")
+
+
+def _listed(met: DataFrame, distinct: DataFrame, named: DataFrame, keep: int) -> DataFrame:
+    """``q, i, score``: the ``keep`` best ids of the vectors met, by exact score."""
+    a = distinct.select(F.col("v").alias("q"), F.col("e").alias("qe"))
+    exact = F.aggregate(F.zip_with("qe", "e", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    scored = met.join(a, "q").join(distinct.select("v", "e"), "v").select("q", "v", exact.alias("score"))
+    few = named.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("i"))).where(F.col("r") <= keep)
+    listed = scored.join(few.select("v", "i"), "v")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "i")
+    return listed.withColumn("r", F.row_number().over(order)).where(F.col("r") <= keep).select("q", "i", "score")
+
+
 def nearest(
     vectors: DataFrame,
     every: int = 20,
@@ -129,8 +175,9 @@ def nearest(
     Equal vectors are searched once, whatever their number, and at the end stand for their
     ``count + 1`` least ids, since no more can be among the nearest. Vectors that are null, empty,
     zero or hold a null or non-finite component, and rows without an id, take no part; vectors of
-    different length are no candidates of each other. Repeated rows count once. A query without
-    any candidate in the buckets visited has no rows; an empty table gives none.
+    another number of components are no candidates of each other. Repeated rows count once. A query that meets
+    fewer than ``count`` others in its buckets is compared with all vectors, so it has fewer rows
+    only if the table holds no more; an empty table gives none.
     """
     ready(vectors.sparkSession)
     keep = count + 1
@@ -138,39 +185,26 @@ def nearest(
     first = Window.partitionBy("e").orderBy("i")
     least = rows.withColumn("r", F.row_number().over(first)).where(F.col("r") <= keep)
     distinct = stage(least.where("r = 1").select(F.col("i").alias("v"), "e"), "ann-vectors")
-    named = rows.join(distinct, "e").select("v", "i")
-    named = stage(named, "ann-ids")
-    square = F.aggregate("e", F.lit(0.0), lambda s, x: s + x * x)
-    sizes = distinct.agg(F.max(square).alias("most"), F.avg(square).alias("mean")).first()
-    length, step = float(sizes.most or 1.0) ** 0.5, width * float(sizes.mean or 1.0) ** 0.5
-
+    named = stage(rows.join(distinct.select("v", "e"), "e").select("v", "i"), "ann-ids")
     asked = named.where(F.col("i") % every == 0)
-    queries = distinct.join(asked.select("v").distinct(), "v", "left_semi")
-    held = stage(_hashed(distinct, length, step, tables, hashes, 0), "ann-index")
-    asks = stage(_hashed(queries, length, step, tables, hashes, probes).distinct(), "ann-probes")
-    blocks = held.groupBy("t", "h").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK))).cast("int").alias("blocks"))
-    parts = asks.groupBy("t", "h").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK))).cast("int").alias("parts"))
-    both = blocks.join(parts, ["t", "h"])
-    spot = lambda n: F.pmod(F.xxhash64("v"), F.col(n)).cast("int")
-    mine = held.join(both, ["t", "h"]).select(
-        "v", "t", "h", spot("blocks").alias("x"), F.explode(F.expr("sequence(0, parts - 1)")).alias("y")
-    )
-    theirs = asks.join(both, ["t", "h"]).select(
-        "v", "t", "h", F.explode(F.expr("sequence(0, blocks - 1)")).alias("x"), spot("parts").alias("y")
-    )
-    dealt = mine.withColumn("ask", F.lit(False)).union(theirs.withColumn("ask", F.lit(True))).join(distinct, "v")
-    met = dealt.groupBy("t", "h", "x", "y").applyInPandas(_nearest(keep + 3), "q bigint, v bigint, score double")
-    met = met.groupBy("q", "v").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "v")
-    met = stage(met.withColumn("r", F.row_number().over(order)).where(F.col("r") <= keep + 3).select("q", "v"), "ann-met")
-
-    a = distinct.select(F.col("v").alias("q"), F.col("e").alias("qe"))
-    exact = F.aggregate(F.zip_with("qe", "e", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    scored = met.join(a, "q").join(distinct, "v").select("q", "v", exact.alias("score"))
-    few = named.withColumn("r", F.row_number().over(Window.partitionBy("v").orderBy("i"))).where(F.col("r") <= keep)
-    listed = scored.join(few.select("v", "i"), "v")
-    order = Window.partitionBy("q").orderBy(F.desc("score"), "i")
-    listed = listed.withColumn("r", F.row_number().over(order)).where(F.col("r") <= keep).select("q", "i", "score")
+    queries = stage(distinct.join(asked.select("v").distinct(), "v", "left_semi"), "ann-queries")
+
+    whole = lambda df: df.select("v", F.lit(-1).alias("t"), F.size("e").cast("bigint").alias("h"))
+    span = ["size", "span"]
+    ranged = _ranged(distinct)
+    small = ranged.groupBy(span).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= WHOLE)
+    held = _hashed(distinct, width, tables, hashes, 0).union(whole(ranged.join(small, span, "left_semi")))
+    asks = _hashed(queries, width, tables, hashes, probes).distinct().union(whole(queries))
+    held, asks = stage(held, "ann-index"), stage(asks, "ann-probes")
+    met = _met(held, asks, distinct, keep + 3).union(queries.select(F.col("v").alias("q"), "v")).distinct()
+    listed = stage(_listed(met, distinct, named, keep), "ann-listed")
+
+    enough = listed.groupBy("q").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= keep).select(F.col("q").alias("v"))
+    short = stage(queries.join(enough, "v", "left_anti"), "ann-short")
+    if not short.isEmpty():
+        met = stage(_met(whole(distinct), whole(short), distinct, keep + 3), "ann-met")
+        again = short.select(F.col("v").alias("q"))
+        listed = listed.join(again, "q", "left_anti").unionByName(_listed(met, distinct, named, keep))
     asked = asked.select(F.col("v").alias("q"), F.col("i").alias("query_id"))
     out = asked.join(listed, "q").where("i != query_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "i")

@@ -253,6 +253,41 @@ def test_neighbours_of_copies_and_unusable_vectors(spark):
     assert (got.score == 5.0).all()
 
 
+def _recall(got: pd.DataFrame, x: np.ndarray, every: int = 20) -> float:
+    ids, hits, asked = np.arange(len(x)), 0, range(0, len(x), every)
+    for q in asked:
+        order = [k for k in np.lexsort((ids, -(x @ x[q]))) if k != q][:20]
+        hits += len(set(order) & set(got[got.query_id == q].vec_id))
+    return hits / (20 * len(asked))
+
+
+@pytest.mark.parametrize("lengths", ["one", "few", "spread"])
+def test_neighbours_of_unequal_lengths(spark, lengths):
+    x = np.stack(pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet").embedding).astype(float)
+    draw = np.random.default_rng(3)
+    size = np.ones(len(x))
+    if lengths == "spread":
+        size = np.exp(0.5 * draw.standard_normal(len(x)))
+    else:
+        size[7 : 8 if lengths == "one" else 47] = 5.0
+    x *= size[:, None]
+    frame = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame).toPandas()
+    assert (got.groupby("query_id").size() == 20).all() and got.query_id.nunique() == len(x) // 20
+    assert _recall(got, x) >= 0.9
+
+
+def test_neighbours_that_share_no_bucket(spark):
+    x = np.eye(60) * np.array([1e-200, 1.0, 1e150])[np.arange(60) % 3][:, None]
+    frame = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, tables=1, hashes=40, width=0.01, probes=1).toPandas()
+    assert (got.groupby("query_id").size() == 20).all() and set(got.query_id) == {0, 20, 40}
+    many = np.random.default_rng(5).standard_normal((600, 8))
+    many /= np.linalg.norm(many, axis=1)[:, None]
+    frame = spark.createDataFrame([(k, v) for k, v in enumerate(many.tolist())], "vec_id long, embedding array<double>")
+    assert _recall(neighbours.nearest(frame, tables=1, hashes=40, width=0.01, probes=1).toPandas(), many) == 1.0
+
+
 def test_probes_come_in_order_of_their_cost():
     rest = np.array([0.2, 0.7, 0.5])
     cost = [sum(rest[i] ** 2 if s < 0 else (1 - rest[i]) ** 2 for i, s in p) for p in neighbours.perturbations(rest, 27)]

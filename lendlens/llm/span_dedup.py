@@ -1,8 +1,10 @@
 """Removal of repeated passages by sliding spans of consecutive sentences.
 
-A span starts at every sentence and takes in the next ones until it has enough words. Spans are
-compared over the whole corpus by hash; in every place but the first (least id, then position) the
-sentences of a repeated span go.
+A span starts at every sentence and takes in the next ones until it has enough words; another ends
+at every sentence and takes in those before it. So every sentence of a passage whose whole
+sentences have enough words lies in a span inside the passage. Spans are compared over the whole
+corpus by hash; in every place but the first (least id, then position) the sentences of a repeated
+span go.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from lendlens.llm.common import ready
 from lendlens.sources.session import stage
 
-#: Words that a span has at least; it ends with the sentence that reaches them.
+#: Words that a span has at least; it goes no further than the sentence that reaches them.
 SPAN_WORDS = 30
 #: A span with more than this part of all repeated places is joined in several parts, each of about that size.
 PARTS = 1024
@@ -42,55 +44,71 @@ def sentences(text: str) -> list[str]:
 
 
 def spans(parts: list[str], words: int = SPAN_WORDS) -> Iterator[tuple[int, int, str]]:
-    """First sentence, last sentence and text (words, single spaces, lower case) of every span."""
+    """First sentence, last sentence and text (words, single spaces, lower case) of every span, by position.
+
+    The shortest run backwards from a sentence is left out where the shortest run forwards from its
+    first sentence is the same; that depends on the run's own text only, so it holds in all places.
+    """
     split = [p.lower().split() for p in parts]
     sizes = [len(x) for x in split]
     texts = [" ".join(x) for x in split]
+    ends: dict[int, int] = {}
     end, held = 0, 0
     for start in range(len(parts)):
         while held < words and end < len(parts):
             held += sizes[end]
             end += 1
         if held < words:
-            return
+            break
         if sizes[start]:
-            yield start, end - 1, " ".join(texts[start:end])
+            ends[start] = end - 1
         held -= sizes[start]
+    found = list(ends.items())
+    start, held = 0, 0
+    for end, size in enumerate(sizes):
+        held += size
+        while held - sizes[start] >= words:
+            held -= sizes[start]
+            start += 1
+        if size and held >= words and ends[start] != end:
+            found.append((start, end))
+    for start, end in sorted(found):
+        yield start, end, " ".join(texts[start : end + 1])
 
 
 def _span_rows(rows: DataFrame, words: int) -> DataFrame:
-    """``h1, h2, i, s``: 96-bit hash, document and first sentence of every span."""
+    """``h1, h2, i, s``: 96-bit hash, document and place of every span, its first sentence in the upper 32 bits of the
+    place and its last in the lower."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             digests, owners, starts = [], [], []
             for owner, text in zip(batch["i"].tolist(), batch["t"], strict=True):
-                for start, _, span in spans(sentences(text), words):
+                for start, end, span in spans(sentences(text), words):
                     digests.append(xxhash.xxh3_128_digest(span))
                     owners.append(owner)
-                    starts.append(start)
+                    starts.append(start << 32 | end)
             table = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             yield pd.DataFrame(
                 {"h1": table[:, 0], "h2": table[:, 1].astype(np.int32)}
-                | {"i": np.array(owners, np.int64), "s": np.array(starts, np.int32)}
+                | {"i": np.array(owners, np.int64), "s": np.array(starts, np.int64)}
             )
 
-    return rows.where("i is not null and t is not null").mapInPandas(run, "h1 bigint, h2 int, i bigint, s int")
+    return rows.where("i is not null and t is not null").mapInPandas(run, "h1 bigint, h2 int, i bigint, s bigint")
 
 
-def _without(words: int):
+def _without():
     @F.pandas_udf("text string, n_sentences int, n_removed int")
-    def cut(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
+    def cut(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
         out = []
-        for text, mine in zip(texts, starts, strict=True):
+        for text, mine in zip(texts, places, strict=True):
             parts = sentences(text) if text is not None else []
             if mine is None or not len(mine):
                 out.append((text, len(parts), 0))
                 continue
-            wanted, gone = set(mine.tolist()), np.zeros(len(parts), bool)
-            for start, end, _ in spans(parts, words):
-                if start in wanted:
-                    gone[start : end + 1] = True
+            gone = np.zeros(len(parts), bool)
+            for place in mine.tolist():
+                gone[place >> 32 : (place & 0xFFFFFFFF) + 1] = True
             left = "".join(p for p, g in zip(parts, gone, strict=True) if not g).rstrip()
             out.append((left, len(parts), int(gone.sum())))
         return pd.DataFrame(out, columns=["text", "n_sentences", "n_removed"]).astype({"text": object})
@@ -107,7 +125,7 @@ def dedup_spans(
     Texts with fewer than ``words`` words have no span. A null text stays null; rows with a null
     id are left as they are and not compared. Rows that repeat an id and text count as the same
     place, so none of them is cut because of the other. Sentences without a word belong to no
-    span's start. Hot spans are reduced before the shuffle, and dealt to many tasks in the join back.
+    span's edges. Hot spans are reduced before the shuffle, and dealt to many tasks in the join back.
     """
     ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).alias("t"))
@@ -132,7 +150,7 @@ def dedup_spans(
     name, key, part = (f"{x}_{'_'.join(docs.columns)}" for x in ("kept", "key", "part"))  # clash with no column
     starts = starts.select(F.col("i").alias(key), F.col("s").alias(part))
     joined = docs.join(starts, docs[id_col].cast("bigint") == starts[key], "left")
-    return joined.withColumn(name, _without(words)(F.col(text_col), F.col(part))).drop(key, part), name
+    return joined.withColumn(name, _without()(F.col(text_col), F.col(part))).drop(key, part), name
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SPAN_WORDS) -> DataFrame:

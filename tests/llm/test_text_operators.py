@@ -314,6 +314,15 @@ def test_repeated_passages_go_but_for_the_first(spark):
     assert left[None] == passage and left[1].startswith("Own start here. Alpha")
 
 
+@pytest.mark.parametrize("sizes", [(34, 5, 7, 1), (50, 6, 14), (12, 30, 4, 9), (3, 8, 9, 11)])
+def test_repeated_passages_go_up_to_their_last_sentence(spark, sizes):
+    said = " ".join(" ".join(f"w{n}x{k}" for k in range(size)) + "." for n, size in enumerate(sizes))
+    rows = [(1, f"Own one. {said} Own end."), (2, f"Other and more. {said} Other end."), (3, said)]
+    found, name = span_dedup.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {r.doc_id: r.left for r in found.select("doc_id", F.col(f"{name}.text").alias("left")).collect()}
+    assert left == {1: rows[0][1], 2: "Other and more. Other end.", 3: ""}
+
+
 def test_span_query_follows_the_plain_rule(spark, docs):
     places: dict[str, tuple[int, int]] = {}
     split = {d: span_dedup.sentences(t) for d, t in zip(docs.doc_id, docs.text, strict=True)}

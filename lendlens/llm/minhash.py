@@ -88,6 +88,15 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4")
 
 
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A hash of the whole minima of each band of a signature."""
+    rows = least.astype(np.uint64).reshape(BANDS, ROWS)
+    keys = np.zeros(BANDS, np.uint64)
+    for k in range(ROWS):
+        keys = mix(keys * _FOLD + rows[:, k] + np.uint64(1))
+    return keys
+
+
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, s1, s2, sig``: size, fingerprint and signature of each row's set (sig null if empty)."""
 
@@ -159,19 +168,22 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _compact(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, small, half``: the lowest byte of each minimum, and the lower halves of the set's hashes, sorted."""
+    """``node, small, keys, half``: the lowest byte of each minimum, a 64-bit hash of each band's whole minima, and the
+    lower halves of the set's hashes, sorted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            small, half = [], []
+            small, keys, half = [], [], []
             for text in batch["t"]:
                 found = shingles(text)
-                small.append(signature(found).astype(np.uint8).tobytes())
+                least = signature(found)
+                small.append(least.astype(np.uint8).tobytes())
+                keys.append(band_keys(least).tobytes())
                 half.append(np.sort(found.astype("<u4")).tobytes())
-            yield pd.DataFrame({"node": batch["i"], "small": small, "half": half})
+            yield pd.DataFrame({"node": batch["i"], "small": small, "keys": keys, "half": half})
 
     chosen = texts.join(nodes.select(F.col("node").alias("i")).distinct(), "i", "left_semi")
-    return stage(chosen.mapInPandas(run, "node bigint, small binary, half binary"), "minhash-compact")
+    return stage(chosen.mapInPandas(run, "node bigint, small binary, keys binary, half binary"), "minhash-compact")
 
 
 class _Forest:
@@ -192,10 +204,11 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
     """Links between the components of one group of bucket members, just enough of them to join what can be joined.
 
     Signatures drop most pairs; the halves of the hashes never count too few shared shingles, so
-    no link is missed. Each pair is looked at in the first band that it shares only.
+    no link is missed. Each pair is looked at in the first band only whose whole minima it shares.
     """
     group = group.sort_values(["visitor", "node"], kind="stable")
     small = np.frombuffer(b"".join(group["small"]), np.uint8).reshape(len(group), -1)
+    keys = np.frombuffer(b"".join(group["keys"]), np.uint64).reshape(len(group), -1)
     part, node, visitor = (group[c].to_numpy() for c in ("component", "node", "visitor"))
     band, main = int(group["band"].iloc[0]), group["main"].to_numpy()
     sets = [np.frombuffer(x, "<u4") for x in group["half"]]
@@ -214,7 +227,7 @@ def _compare(group: pd.DataFrame) -> pd.DataFrame:
         if k >= own:  # of two visitors to each other's blocks one pair is enough
             near &= main[others] | (node[others] > node[k])
         if band:
-            near &= ~equal[:, : band * ROWS].reshape(len(equal), band, ROWS).all(axis=2).any(axis=1)
+            near &= ~(keys[others, :band] == keys[k, :band]).any(axis=1)
         for j in np.flatnonzero(near) + others.start:
             x, y = int(part[k]), int(part[j])
             if forest.root(x) == forest.root(y):

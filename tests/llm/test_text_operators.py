@@ -434,6 +434,25 @@ def test_crowded_buckets_lose_no_link(spark):
     assert got == _plain_components(ids, texts)
 
 
+def test_pairs_equal_in_low_bytes_only_are_compared_later(spark):
+    """The low bytes of an earlier band agree, its whole minima don't: the pair meets in a later band only."""
+    draw, words = np.random.default_rng(8), [f"w{k}" for k in range(120)]
+    first = minhash.signature(minhash.shingles(" ".join(words))).reshape(minhash.BANDS, minhash.ROWS)
+    while True:
+        other = list(words)
+        for k in draw.choice(120, 3, replace=False):
+            other[k] = f"x{draw.integers(1 << 40)}"
+        second = minhash.signature(minhash.shingles(" ".join(other))).reshape(first.shape)
+        same, low = first == second, first.astype(np.uint8) == second.astype(np.uint8)
+        bands = np.flatnonzero(same.all(axis=1))
+        if len(bands) and low[: bands[0]].all(axis=1).any():
+            break
+    texts = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "i long, t string")
+    rows = [(7, int(bands[0]), node, node) for node in (1, 2)]
+    members = spark.createDataFrame(rows, "key long, band int, node long, component long")
+    assert [tuple(r) for r in minhash._across(members, texts).collect()] == [(2, 1)]
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(odd).collect()}
     assert {(None, 1, None, True), (1, 0, 1, True), (2, 0, 2, True), (3, 2, 3, True), (5, 0, 5, True)} <= got

@@ -166,6 +166,22 @@ def test_main_text_of_marked_and_unmarked_pages():
     assert html_text.extract(None, set()) == html_text.extract("", set()) == ""
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="single no-sidebar"><p>One two</p></body>',
+        '<body class="sidebar"><p>One two</p></body>',
+        '<main class="content has-sidebar"><p>One two</p></main>',
+        '<article class="post comment-open"><p>One two</p></article>',
+        '<div id="page" class="with-nav"><p>One two</p></div><div class="ad">x</div>',
+        '<div class="main-nav"><a href=x>N</a></div><p>One two</p>',
+        '<form><div class="widget"><p>One two</p></div><script>x</script></form>',
+    ],
+)
+def test_names_silence_no_whole_page(page):
+    assert html_text.extract(page, set()) == "One two"
+
+
 def test_fixed_texts_come_from_classes_of_whole_hosts(spark):
     page = "<div><p>Share this</p><p>text {0} of its own</p></div><div><p>All rights</p></div>"
     rows = [(n, f"http://h.example/{n}", page.format(n)) for n in range(12)]

@@ -7,7 +7,6 @@ of bounded size, so nothing is shuffled and a lost task is simply run again.
 from __future__ import annotations
 
 import heapq
-import os
 import zlib
 from collections.abc import Iterator
 
@@ -16,15 +15,14 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from lendlens.llm.common import grouped, ready
+from lendlens.llm.bpe import WordBPE, opened
+from lendlens.llm.common import ready
 
 WINDOW = 2048
 #: A remainder is cut into pieces of this many tokens at most before it is balanced.
 PIECE = 2048
 #: Pieces balanced together; bounds a task's memory and the cost of the differencing.
 BLOCK = 2048
-#: Chunks of text whose ids a worker remembers (about 200 bytes each); beyond it starts anew.
-REMEMBERED = 450_000
 END_OF_TEXT = 1
 
 SCHEMA = (
@@ -32,72 +30,6 @@ SCHEMA = (
 )
 
 
-class ChunkEncoder:
-    """Token ids of whole texts, as little-endian 32-bit bytes, from remembered space-separated chunks.
-
-    The tokenizer drops white space before it splits, so a text's ids are those of its chunks in
-    order. Only the ASCII blanks below separate chunks here; other white space stays inside a chunk
-    and is left to the tokenizer. A chunk whose last Latin letter (one that stays a single letter in
-    lower case) is followed by full stops and commas is looked up without them, and ASCII capitals in lower case: the tokenizer does both as well.
-    """
-
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.most = remembered
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {"": b""}
-
-    @staticmethod
-    def _parts(chunk: str) -> tuple[str, str]:
-        core = chunk.rstrip(".,")
-        tail = chunk[len(core) :]
-        if tail and not (core and core[-1].isalpha() and core[-1] < "\u0180" and core[-1] != "İ"):
-            core, tail = chunk, ""
-        if core.isascii():
-            return core.lower(), tail
-        return (core[0].lower() + core[1:] if core[0].isascii() else core), tail
-
-    def _learn(self, cores: list[str]) -> None:
-        for at in range(0, len(cores), 2000):
-            part = cores[at : at + 2000]
-            starts = np.cumsum([0] + [len(x) + 1 for x in part])
-            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            raw = ids.tobytes()
-            places = np.fromiter((x[0] for x in got.offsets), np.int64, len(ids))
-            ends = np.searchsorted(places, starts[1:])
-            for core, low, high in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                self.cores[core] = raw[4 * low : 4 * high]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        used = set().union(*split)
-        missing = used.difference(self.chunks)
-        if len(self.chunks) + len(missing) > self.most // 2:
-            self.chunks, missing = {}, used
-        parts = {chunk: self._parts(chunk) for chunk in missing}
-        wanted = {x for pair in parts.values() for x in pair}
-        if len(self.cores) + len(wanted) > self.most:
-            self.cores = {"": b""}
-        self._learn(list(wanted.difference(self.cores)))
-        for chunk, (core, tail) in parts.items():
-            self.chunks[chunk] = self.cores[core] + self.cores[tail]
-        ids = self.chunks.__getitem__
-        return [b"".join(map(ids, chunks)) for chunks in split]
-
-
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def encoder(path: str) -> ChunkEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
-
-
 def differencing(sizes: list[int], ways: int) -> list[list[int]]:
     """Karmarkar-Karp: indices of ``sizes`` in at most ``ways`` lists of near-equal sums.
 
@@ -229,14 +161,12 @@ def pack(
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoder(tokenizer)
+        encoder = opened(WordBPE, tokenizer)
         packer = _Packer(window, piece, block, TaskContext.get().partitionId())
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
-            ids = [None if pd.isna(x) else int(x) for x in batch["i"]]
-            for start, texts in grouped(["" if t is None else t for t in batch["t"]]):
-                for k, got in enumerate(enc.encode(texts)):
-                    packer.add(ids[start + k], got + last)
+            for doc, text in zip(batch["i"], batch["t"], strict=True):
+                packer.add(None if pd.isna(doc) else int(doc), encoder.ids(text or "").tobytes() + last)
             if packer.rows:
                 yield packer.taken()
         packer.flush()

@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendlens.llm import (
+    alignment,
     chat,
+    config_packing,
     decontaminate,
     html_text,
     language_id,
+    merkle,
     minhash,
     neighbours,
     packing,
@@ -74,6 +77,20 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = (str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, folder, "documents"), *files)
+
+
+def op12_config_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return config_packing.pack(table(spark, folder, "documents"), str(path))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(table(spark, folder, "documents"), tampered=merkle.one_in_three())
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_token_counts,
@@ -86,9 +103,12 @@ def queries() -> dict[str, Query]:
         op8_chat,
         op9_packing,
         op10_minhash,
+        op11_alignment,
+        op12_config_packing,
+        op13_merkle,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat": chat.RENDER_SQL}
+    return {"op8_chat": chat.RENDER_SQL, "op13_merkle": merkle.MANIFEST_SQL}

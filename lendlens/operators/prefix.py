@@ -9,6 +9,7 @@ a range, so the result is exact wherever the cuts fall.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,8 @@ class Cuts:
 
     bounds: list[float] = field(default_factory=list)
     heavy: list[float] = field(default_factory=list)
+    #: About how many ranges' rows the most frequent value has.
+    shares: int = 1
 
     def assign(self, df: DataFrame, key: str) -> DataFrame:
         if not self.bounds:
@@ -66,8 +69,9 @@ def find_cuts(df: DataFrame, key: str, rows_per_range: int = ROWS_PER_RANGE) ->
     if not points:
         return Cuts()
     chosen = [points[round(i * pieces / ranges) - 1] for i in range(1, ranges)]
-    heavy = sorted({a for a, b in zip(chosen, chosen[1:]) if a == b})
-    return Cuts(sorted(set(chosen)), heavy)
+    repeats = Counter(chosen)
+    heavy = sorted(v for v, times in repeats.items() if times > 1)
+    return Cuts(sorted(repeats), heavy, max(repeats.values(), default=1) + 1)
 
 
 def running_sums(

@@ -5,8 +5,10 @@ On a cluster the caller brings its own session; nothing here overrides it.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,15 @@ def local_session(cores: int | str = "*", partitions: int = 8, **extra: str) ->
     return builder.getOrCreate()
 
 
+def let_workers_import(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver has it (clusters may ship it otherwise)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -64,3 +75,18 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df: DataFrame, keys: Sequence[str], buckets: int, label: str = "bucketed") -> DataFrame:
+    """Like ``stage``, with rows of equal ``keys`` in one bucket: group-bys and joins on exactly these
+    columns (and, for joins, tables with as many buckets) then need no shuffle.
+
+    The files lie in the shared folder; the table's name is known to this session's catalog only
+    as long as that catalog keeps it.
+    """
+    spark = df.sparkSession
+    name = f"lendlens_{label}_{uuid.uuid4().hex}"
+    spread = df.repartition(buckets, *keys)  # one file a bucket
+    writer = spread.write.mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", fresh_path(spark, label)).saveAsTable(name)
+    return spark.table(name)

@@ -207,18 +207,48 @@ def test_cox_says_when_it_did_not_converge(times):
         cox.cox_fit(times[0], ["a", "b"], max_steps=1)
 
 
+def _efron(frame: pd.DataFrame, names: list[str], beta: np.ndarray, means: np.ndarray):
+    """Log partial likelihood, score, information and Breslow hazards, term by term."""
+    x = frame[names].to_numpy() - means
+    w = np.exp(x @ beta)
+    value, score, information, hazards = 0.0, np.zeros(len(names)), np.zeros((len(names),) * 2), {}
+    for t in sorted(frame.duration.unique()):
+        risk, dead = (frame.duration >= t).to_numpy(), ((frame.duration == t) & (frame.event == 1)).to_numpy()
+        value += (x[dead] @ beta).sum()
+        score += x[dead].sum(axis=0)
+        for k in range(dead.sum()):
+            left = risk - k / dead.sum() * dead
+            total = (left * w).sum()
+            mean = (left * w) @ x / total
+            value -= math.log(total)
+            score -= mean
+            information += (x * (left * w)[:, None]).T @ x / total - np.outer(mean, mean)
+        if dead.any():
+            hazards[t] = dead.sum() / w[risk].sum()
+    return value, score, information, hazards
+
+
+def _check_cox(model, frame, names):
+    n, beta = len(frame), model.coefficients
+    value, score, information, hazards = _efron(frame, names, beta, model.means)
+    np.testing.assert_allclose(score / n, cox.PENALIZER * beta, atol=1e-7)
+    assert model.reached == pytest.approx(value / n - cox.PENALIZER / 2 * beta @ beta) and model.residual < 1e-7
+    want = np.linalg.inv(information + n * cox.PENALIZER * np.eye(len(names)))
+    np.testing.assert_allclose(model.covariance, want, rtol=1e-6, atol=1e-12)
+    got = {r["duration"]: (r["hazard"], r["cumulative_hazard"]) for r in model.hazards.collect()}
+    assert set(got) == set(hazards)
+    total = 0.0
+    for t, h in hazards.items():
+        total += h
+        assert got[t] == pytest.approx((h, total))
+    last = max(hazards)
+    assert model.hazard_at([min(hazards) - 1, last]) == [0.0, pytest.approx(total)]
+
+
 def test_cox_satisfies_score_equation(times):
     df, frame = times
     model = cox.cox_fit(df, ["a", "b"])
-    x = frame[["a", "b"]].to_numpy() - model.means
-    w = np.exp(x @ model.coefficients)
-    gradient, hazard = np.zeros(2), {}
-    for t in sorted(frame.duration.unique()):
-        risk, dead = frame.duration >= t, (frame.duration == t) & (frame.event == 1)
-        gradient += x[dead].sum(axis=0) - dead.sum() * (x[risk] * w[risk, None]).sum(axis=0) / w[risk].sum()
-        hazard[int(t)] = dead.sum() / w[risk].sum()
-    np.testing.assert_allclose(gradient / len(frame), cox.PENALIZER * model.coefficients, atol=1e-8)
-    assert model.cumulative_hazard[28] == pytest.approx(sum(hazard.values()))
+    _check_cox(model, frame, ["a", "b"])
     table = cox.hazard_ratios(df.sparkSession, model).collect()
     assert all(r["HR_Lower_95"] < r["Hazard_Ratio"] < r["HR_Upper_95"] for r in table)
     curve = cox.term_structure(model, df.limit(1).withColumn("persona", F.lit("p"))).orderBy("month").collect()
@@ -226,6 +256,39 @@ def test_cox_satisfies_score_equation(times):
     assert len(values) == 60 and values == sorted(values) and 0 <= values[0] <= values[-1] <= 1
 
 
+@pytest.mark.parametrize("kind", ["fractions", "one hot duration", "outliers"])
+def test_cox_on_durations_as_they_are(spark, kind):
+    rng = np.random.default_rng(11)
+    n = 400
+    x = rng.normal(0, 1, (n, 2))
+    duration = rng.exponential(40 * np.exp(-0.5 * x[:, 0]))  # fractions, some far over 60 months
+    if kind == "one hot duration":
+        duration = np.where(rng.random(n) < 0.6, 60.0, np.ceil(duration / 7))
+    if kind == "outliers":
+        x[:3] = [[100.0, -90.0], [-120.0, 2.0], [145.0, 130.0]]
+    frame = pd.DataFrame({"duration": duration, "event": (rng.random(n) < 0.6).astype("int32"), "a": x[:, 0], "b": x[:, 1]})
+    odd = pd.DataFrame({"duration": [None, 3.0, 4.0], "event": [1, None, 1], "a": [0.0, 0.0, None], "b": [0.0, 0.0, 0.0]})
+    df = spark.createDataFrame(pd.concat([frame, odd]), "duration double, event double, a double, b double")
+    model = cox.cox_fit(df, ["a", "b"], rows_per_block=30)
+    assert model.rows == n and model.reached > model.start
+    _check_cox(model, frame, ["a", "b"])
+
+
+def test_cox_needs_events(times):
+    with pytest.raises(ValueError, match="no event"):
+        cox.cox_fit(times[0].withColumn("event", F.lit(0)), ["a"])
+
+
+def test_tied_sums_are_the_sums_term_by_term():
+    whole = np.array([10.0, 5.0, 400.0, 3.0, 9e5, 70.0])
+    tied = np.array([4.0, 5.0, 399.0, 1e-3, 8e5, 70.0])
+    events = np.array([3, 1, 500, 40, 100_000, 33])
+    got = cox.tied_sums(whole, tied, events.astype(float))
+    for i, (a, b, d) in enumerate(zip(whole, tied, events)):
+        u = a - np.arange(d) / d * b
+        np.testing.assert_allclose([g[i] for g in got], [np.log(u).sum(), (1 / u).sum(), (1 / u**2).sum()], rtol=1e-10)
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     rng = np.random.default_rng(9)

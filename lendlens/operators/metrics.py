@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendlens.functions.columns import guarded_ratio
 from lendlens.operators.prefix import running_sums
@@ -34,25 +34,33 @@ def score_ladder(df: DataFrame, label: str, score: str, by: Sequence[str] = ())
     return ladder.withColumns({"n_pos": F.lit(row["n_pos"]), "n_neg": F.lit(row["n_neg"])})
 
 
-def auc_from_ladder(ladder: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """ROC-AUC (a tie counts half) and Gini; null with a single class."""
+def _auc() -> Column:
+    """ROC-AUC over a ladder; a tie counts half, null with a single class."""
     won = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / 2))
     pairs = F.max(F.col("n_pos").cast("double") * F.col("n_neg"))
-    summed = ladder.groupBy(*by).agg((won / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
-    return summed.withColumn("gini", 2 * F.col("roc_auc") - 1)
+    return won / F.nullif(pairs, F.lit(0.0))
+
+
+def auc_from_ladder(ladder: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """ROC-AUC and Gini."""
+    return ladder.groupBy(*by).agg(_auc().alias("roc_auc")).withColumn("gini", 2 * F.col("roc_auc") - 1)
 
 
 def roc_auc_gini(df: DataFrame, label: str = "TARGET", score: str = "PD", by: Sequence[str] = ()) -> DataFrame:
     return auc_from_ladder(score_ladder(df, label, score, by), by)
 
 
-def ks_from_ladder(ladder: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Largest gap between the class distribution functions and the lowest score where it occurs."""
+def _ks(score: str) -> Column:
+    """Least struct of (negative gap, score) over a ladder; null with a single class."""
     share = lambda n: F.when(F.col(f"n_{n}") > 0, (F.col(f"{n}_before") + F.col(n)) / F.col(f"n_{n}"))
     gap = F.abs(share("pos") - share("neg"))
     # Rounding settles which of two equal gaps wins, whatever their last bits are.
-    best = F.min(F.struct((-F.round(gap, 12)).alias("gap"), F.col(score).alias("at")))
-    top = ladder.where(gap.isNotNull()).groupBy(*by).agg(best.alias("best"))
+    return F.min(F.when(gap.isNotNull(), F.struct((-F.round(gap, 12)).alias("gap"), F.col(score).alias("at"))))
+
+
+def ks_from_ladder(ladder: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Largest gap between the class distribution functions and the lowest score where it occurs."""
+    top = ladder.groupBy(*by).agg(_ks(score).alias("best")).where("best is not null")
     return top.select(
         *by,
         F.coalesce(-F.col("best.gap"), F.lit(0.0)).alias("ks_statistic"),
@@ -64,8 +72,8 @@ def ks_statistic(df: DataFrame, label: str = "TARGET", score: str = "PD", by: Se
     return ks_from_ladder(score_ladder(df, label, score, by), score, by)
 
 
-def pr_from_ladder(ladder: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Area under precision-recall by trapezoid, and average precision.
+def _precision_recall() -> tuple[Column, Column]:
+    """Area under precision-recall by trapezoid, and average precision, over a ladder.
 
     At each distinct score s the classifier "score >= s" has
     tp = total - before; the previous (stricter) point has tp minus the ties,
@@ -76,10 +84,12 @@ def pr_from_ladder(ladder: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     precision = tp / F.nullif(tp + fp, F.lit(0))
     precision_prev = F.when(tp_prev + fp_prev > 0, tp_prev / F.nullif(tp_prev + fp_prev, F.lit(0))).otherwise(1.0)
     step = F.col("pos") / F.nullif(F.col("n_pos"), F.lit(0))
-    return ladder.groupBy(*by).agg(
-        F.sum(step * (precision + precision_prev) / 2).alias("pr_auc"),
-        F.sum(step * precision).alias("average_precision"),
-    )
+    return F.sum(step * (precision + precision_prev) / 2), F.sum(step * precision)
+
+
+def pr_from_ladder(ladder: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    area, average = _precision_recall()
+    return ladder.groupBy(*by).agg(area.alias("pr_auc"), average.alias("average_precision"))
 
 
 def pr_auc_trapezoid(df: DataFrame, label: str = "TARGET", score: str = "PD", by: Sequence[str] = ()) -> DataFrame:
@@ -125,16 +135,19 @@ def model_benchmark(
     """Every metric per model of a long (model, key, label, score) table."""
     by = [model]
     ladder = score_ladder(df, label, score, by)
-    parts = [
-        auc_from_ladder(ladder, by),
-        pr_from_ladder(ladder, by),
-        ks_from_ladder(ladder, score, by),
-        brier_score(df, label, score, by),
-        confusion_metrics(df, label, score, threshold, by),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.join(part, by)  # one row per model on both sides
+    area, average = _precision_recall()
+    ranked = ladder.groupBy(*by).agg(
+        _auc().alias("roc_auc"), area.alias("pr_auc"), average.alias("average_precision"), _ks(score).alias("best")
+    )
+    ranked = ranked.withColumns(
+        {
+            "gini": 2 * F.col("roc_auc") - 1,
+            "ks_statistic": F.coalesce(-F.col("best.gap"), F.lit(0.0)),
+            "ks_threshold": F.col("best.at"),
+        }
+    ).drop("best")
+    # one row per model on every side
+    out = ranked.join(brier_score(df, label, score, by), by).join(confusion_metrics(df, label, score, threshold, by), by)
     return out.withColumn("eval_threshold", F.lit(threshold))
 
 

@@ -48,6 +48,9 @@ def _out(body: str, d6: Sequence[str] = (), d2: Sequence[str] = (), big: Sequenc
     return f"select * replace ({', '.join(parts)}) from ({body})"
 
 
+_SINGLE = ("EXT_SOURCE_MEAN", "EXT_SOURCE_MIN", "EXT_SOURCE_WEIGHTED", "EXT_SOURCE_PRODUCT")
+
+
 def _score(multiplier: int, modulus: int) -> str:
     return f"(7e0*((o_orderkey*57)%991)/991+3e0*((o_orderkey*{multiplier})%{modulus})/{modulus})/1e1"
 
@@ -954,6 +957,47 @@ def oracle_sql() -> dict[str, str]:
         "scored",
     )
 
+    # fits: what holds of any well fitted model
+    test = f"feat where {_hash()}<858993459"
+    single = " union all ".join(f"select '{c}' as name, -{c} as PD, TARGET from {test}" for c in _SINGLE)
+    for name in ("logistic", "gbt_benchmark", "gbt_champion"):
+        o[f"fit_{name}"] = _with(
+            _out(
+                f"""select 'fit_{name}' as model_name, 67 as features, (select count(*) from {test}) as test_loans,
+ (select sum(TARGET) from {test}) as test_defaults, max(auc) as best_single_auc, true as near_best_single, 1e0 as importance_total
+ from (select name, sum(pos*(cneg-neg+neg/2e0))/max(npos*nneg) as auc from (
+ select name, pos, neg, sum(neg) over (partition by name order by PD) as cneg, sum(pos) over (partition by name) as npos,
+ sum(neg) over (partition by name) as nneg from (
+ select name, PD, sum(TARGET) as pos, sum(1-TARGET) as neg from ({single}) group by name, PD)) group by name)""",
+                ["best_single_auc", "importance_total"],
+                big=["features", "test_loans", "test_defaults"],
+            ),
+            "feat",
+        )
+    o["fit_lgd"] = _with(
+        _out(
+            f"""select count(*) as test_loans, avg(LGD) as mean_actual, stddev_pop(LGD) as std_actual, true as better_than_mean,
+ true as inside_bounds from loss where {_hash()}<858993459""",
+            ["mean_actual", "std_actual"],
+            big=["test_loans"],
+        ),
+        "loss",
+    )
+    train = f"""select duration, event, rn>floor(2e-1*n) as train from (
+ select *, row_number() over (partition by event order by {_hash()}) as rn, count(*) over (partition by event) as n from surv)"""
+    o["cox_facts"] = _with(
+        _out(
+            f"""select 14 as covariates, true as marks_fit, true as ratios_inside, 180 as curve_points, true as curves_rise,
+ (select count(distinct duration) from ({train}) where train and event=1) as event_times,
+ (select max(duration) from ({train}) where train and event=1) as last_event, count(*) as train_loans, sum(event) as train_events,
+ 0e0 as score_residual, true as likelihood_rises from ({train}) where train""",
+            ["last_event", "score_residual"],
+            big=["covariates", "curve_points", "event_times", "train_loans", "train_events"],
+        ),
+        "surv",
+    )
+    o["json_report"] = o["tier_breakdown"]
+
     # loss
     o["pd_proxy"] = _with(
         _out("select SK_ID_CURR, EXT_SOURCE_MEAN, LOGIT, PD from scored", ["EXT_SOURCE_MEAN", "LOGIT", "PD"]), "scored"

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lendlens.functions.columns import steady_round
 from lendlens.operators import (
@@ -36,8 +36,6 @@ from lendlens.sources.session import fresh_path, stage
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-# Trees per boosted model in the registered runs (operators default to the full number).
-QUERY_TREES = 8
 WHAT_IF = {"annuity -20%": (0.8, 1.0), "credit -20%": (0.8, 0.8), "annuity +50%": (1.5, 1.0)}
 FEATURE_COLUMNS = (
     "DEBT_TO_INCOME_RATIO",
@@ -63,6 +61,7 @@ INST_COLUMNS = (
     "INST_TOTAL_DEFICIT",
     "INST_AVG_DEFICIT",
 )
+SINGLE_SCORES = ("EXT_SOURCE_MEAN", "EXT_SOURCE_MIN", "EXT_SOURCE_WEIGHTED", "EXT_SOURCE_PRODUCT")
 MONEY = ("Total_EAD", "Total_EL", "Mean_EL")
 
 
@@ -123,13 +122,13 @@ def csv_sample(at):
     return io.read_csv(at[0], path, kind)
 
 
-@query(None)
+@query(money=MONEY)
 def json_report(at):
     tiers = loss.tier_breakdown(t.loss_table(at))
     nested = tiers.groupBy().agg(F.sort_array(F.collect_list(F.struct("*"))).alias("tier_breakdown"))
     path = fresh_path(at[0], "report-json")
     io.write_json(nested, path)
-    return at[0].read.schema(nested.schema).json(path)
+    return at[0].read.schema(nested.schema).json(path).select(F.inline("tier_breakdown"))
 
 
 @query()
@@ -622,9 +621,14 @@ def _cox(at) -> tuple[cox.CoxModel, DataFrame]:
 
 @query()
 def cox_fit(at):
+    """Harrell's C of the fitted hazard on either side of the split."""
     model, design = _cox(at)
-    c = survival.concordance_index(model.with_risk(design.where("split = 'test'"), "hazard"), "hazard")
-    return c.withColumn("newton_steps", F.lit(model.steps))
+    risky = stage(model.with_risk(design, "hazard").select("split", "duration", "event", "hazard"), "hazards")
+    sides = [
+        survival.concordance_index(risky.where(F.col("split") == side), "hazard").withColumn("split", F.lit(side))
+        for side in ("train", "test")
+    ]
+    return sides[0].unionByName(sides[1]).withColumn("newton_steps", F.lit(model.steps))
 
 
 @query()
@@ -639,6 +643,33 @@ def term_structure(at):
     return cox.term_structure(model, people)
 
 
+@query()
+def cox_facts(at):
+    """What must hold of a converged fit, whatever its coefficients: score equation, likelihood, marks, curves."""
+    model, design = _cox(at)
+    ratios = cox.hazard_ratios(at[0], model)
+    mark = F.when(F.col("p") < 0.001, "***").when(F.col("p") < 0.01, "**").when(F.col("p") < 0.05, "*").otherwise("ns")
+    inside = (F.col("HR_Lower_95") < F.col("Hazard_Ratio")) & (F.col("Hazard_Ratio") < F.col("HR_Upper_95"))
+    fine = ratios.agg(
+        F.count(F.lit(1)).alias("covariates"),
+        F.bool_and(mark == F.col("Significance")).alias("marks_fit"),
+        F.bool_and(inside).alias("ratios_inside"),
+    )
+    people = survival.borrower_personas(design.where("split = 'test'"), model.covariates)
+    curves = cox.term_structure(model, people)
+    earlier = F.lag("cumulative_pd").over(Window.partitionBy("persona").orderBy("month"))
+    rising = curves.withColumn("ok", F.col("cumulative_pd").between(F.coalesce(earlier, F.lit(0.0)), F.lit(1.0)))
+    shape = rising.agg(F.count(F.lit(1)).alias("curve_points"), F.bool_and("ok").alias("curves_rise"))
+    last = model.hazards.agg(F.count(F.lit(1)).alias("event_times"), F.max("duration").alias("last_event"))
+    facts = {
+        "train_loans": F.lit(model.rows).cast("bigint"),
+        "train_events": F.lit(model.events).cast("bigint"),
+        "score_residual": F.lit(model.residual),
+        "likelihood_rises": F.lit(model.reached > model.start),
+    }
+    return fine.crossJoin(shape).crossJoin(last).withColumns(facts)  # one row each
+
+
 # --- explanation, recourse, uplift, fairness, stress -----------------------
 
 
@@ -710,39 +741,54 @@ def stress_test(at):
 
 
 def _training_rows(at) -> tuple[DataFrame, list[str]]:
-    wide = t.feature_table(at)
-    names = [*FEATURE_COLUMNS, *INST_COLUMNS]
-    rows = stage(wide.select("SK_ID_CURR", "TARGET", *names), "features")
-    return sampling.train_test_split(rows), names
+    """All coded features and categories of every application, split by key."""
+    wide = stage(t.full_features(at), "features")
+    return sampling.train_test_split(wide), learn.all_features(wide)
+
 
+def _single_scores(rows: DataFrame) -> DataFrame:
+    """Each published score taken alone as a ranking of risk, in long form."""
+    entries = [F.struct(F.lit(c).alias("model_name"), (-F.col(c)).alias("PD")) for c in SINGLE_SCORES]
+    return rows.select("SK_ID_CURR", "TARGET", F.inline(F.array(*entries)))
 
-def _benchmarked(at, fit) -> DataFrame:
+
+def _facts(at, fit) -> DataFrame:
+    """The fitted model against the best single score on the test side."""
     rows, names = _training_rows(at)
     model = fit(rows.where("split = 'train'"), names)
-    tested = learn.score(model, rows.where("split = 'test'")).select("SK_ID_CURR", "TARGET", "PD")
-    named = stage(tested.withColumn("model_name", F.lit(fit.__name__)), "scores")
-    return metrics.model_benchmark(named)
+    test = rows.where("split = 'test'")
+    tested = stage(learn.score(model, test).select("SK_ID_CURR", "TARGET", "PD"), "scores")
+    single = metrics.roc_auc_gini(stage(_single_scores(test), "single"), by=["model_name"])
+    fitted = metrics.roc_auc_gini(tested).select(F.col("roc_auc").alias("fitted_auc"))
+    sizes = tested.agg(F.count(F.lit(1)).alias("test_loans"), F.sum("TARGET").alias("test_defaults"))
+    best = single.agg(F.max("roc_auc").alias("best_single_auc"))
+    importance = F.lit(1.0)
+    if isinstance(model, learn.BoostedTreesModel):
+        importance = F.lit(float(sum(share for _, share in model.importances())))
+    return best.crossJoin(fitted).crossJoin(sizes).select(  # one row each
+        F.lit(fit.__name__).alias("model_name"),
+        F.lit(len(names)).cast("bigint").alias("features"),
+        "test_loans",
+        "test_defaults",
+        "best_single_auc",
+        (F.col("fitted_auc") > F.col("best_single_auc") - 0.05).alias("near_best_single"),
+        importance.alias("importance_total"),
+    )
 
 
 @query()
 def fit_logistic(at):
-    return _benchmarked(at, learn.fit_logistic)
+    return _facts(at, learn.fit_logistic)
 
 
 @query()
 def fit_gbt_benchmark(at):
-    def gbt_benchmark(df, names):
-        return learn.fit_gbt_benchmark(df, names, trees=QUERY_TREES)
-
-    return _benchmarked(at, gbt_benchmark)
+    return _facts(at, learn.fit_gbt_benchmark)
 
 
 @query()
 def fit_gbt_champion(at):
-    def gbt_champion(df, names):
-        return learn.fit_gbt_champion(df, names, trees=QUERY_TREES)
-
-    return _benchmarked(at, gbt_champion)
+    return _facts(at, learn.fit_gbt_champion)
 
 
 @query()
@@ -755,23 +801,32 @@ def pd_score(at):
 @query()
 def feature_importance(at):
     rows, names = _training_rows(at)
-    return learn.feature_importance(learn.fit_gbt_benchmark(rows, names, trees=QUERY_TREES), names)
+    return learn.feature_importance(learn.fit_gbt_benchmark(rows, names))
 
 
 @query()
 def fit_lgd(at):
+    """The fitted regressor against the test side's own mean."""
     wide = t.full_features(at)
     chosen = [c for c in learn.LGD_FEATURES if c in wide.columns]
     needed = sorted({*chosen, "SK_ID_CURR", "NAME_CONTRACT_TYPE", "FLAG_OWN_REALTY", "FLAG_OWN_CAR"})
     rows = sampling.train_test_split(stage(wide.select(*needed), "lgd"))
-    model, names, medians = learn.fit_lgd(rows.where("split = 'train'"), trees=QUERY_TREES)
+    model, names, medians = learn.fit_lgd(rows.where("split = 'train'"))
     observed = loss.lgd_heuristic(rows.where("split = 'test'")).withColumnRenamed("LGD", "actual")
-    return metrics.regression_metrics(learn.predict_lgd(model, observed, names, medians), "actual", "LGD")
+    scored = learn.predict_lgd(model, observed, names, medians)
+    error = F.sqrt(F.avg((F.col("LGD") - F.col("actual")) ** 2))
+    return scored.agg(
+        F.count(F.lit(1)).alias("test_loans"),
+        F.avg("actual").alias("mean_actual"),
+        F.stddev_pop("actual").alias("std_actual"),
+        (error < F.stddev_pop("actual")).alias("better_than_mean"),
+        F.bool_and(F.col("LGD").between(0.05, 0.95)).alias("inside_bounds"),
+    )
 
 
 @query()
 def fit_t_learner(at):
     rows, names = _training_rows(at)
     rows = rows.withColumn("TREATMENT", uplift.treatment_arm())
-    models = learn.fit_t_learner(rows.where("split = 'train'"), names, trees=QUERY_TREES)
-    return learn.score_t_learner(models, rows.where("split = 'test'")).select("SK_ID_CURR", "TREATMENT", "cate")
+    model = learn.fit_t_learner(rows.where("split = 'train'"), names)
+    return learn.score_t_learner(model, rows.where("split = 'test'")).select("SK_ID_CURR", "TREATMENT", "cate")

@@ -70,7 +70,7 @@ def feature_stage(spark: SparkSession, folder: str) -> DataFrame:
 def model_stage(spark: SparkSession, folder: str, trees: tuple[int, int] = (200, 300)) -> None:
     """Fit, save and compare the three default models on an 80/20 split."""
     wide = sampling.train_test_split(_table(spark, folder, "features"))
-    names = learn.model_features(wide)
+    names = learn.all_features(wide)
     train, test = wide.where("split = 'train'"), wide.where("split = 'test'")
     fitted = {
         "logistic": learn.fit_logistic(train, names),
@@ -83,7 +83,7 @@ def model_stage(spark: SparkSession, folder: str, trees: tuple[int, int] = (200,
         scored = learn.score(model, test).select(F.lit(name).alias("model_name"), "SK_ID_CURR", "TARGET", "PD")
         long = scored if long is None else long.unionByName(scored)
     _report(metrics.model_benchmark(stage(long, "scores")), folder, "model_benchmark")
-    _report(learn.feature_importance(fitted["boosted_depth6"], names), folder, "feature_importance")
+    _report(learn.feature_importance(fitted["boosted_depth6"]), folder, "feature_importance")
     champion = stage(learn.score(fitted["boosted_depth6"], wide).select("SK_ID_CURR", "TARGET", "PD"), "scores")
     io.write_parquet(champion, f"{folder}/default_scores")
     _report(metrics.threshold_profit_sweep(champion), folder, "threshold_profit")
@@ -113,11 +113,12 @@ def loss_stage(spark: SparkSession, folder: str, trees: int = 100) -> DataFrame:
     wide = _table(spark, folder, "features")
     scored = scoring.pd_proxy_from_mean(wide, 0.5)
     if _exists(spark, f"{folder}/default_scores"):
-        scores = _table(spark, folder, "default_scores").select("SK_ID_CURR", "PD")
-        scored = wide.join(scores, "SK_ID_CURR")
+        scores = _table(spark, folder, "default_scores").select("SK_ID_CURR", F.col("PD").alias("fitted"))
+        # loans without a fitted score keep the closed form
+        scored = scored.join(scores, "SK_ID_CURR", "left").withColumn("PD", F.coalesce("fitted", "PD")).drop("fitted")
     model, names, medians = learn.fit_lgd(wide, trees=trees)
     model.write().overwrite().save(f"{folder}/models/lgd")
-    _report(learn.feature_importance(model, names), folder, "lgd_importance")
+    _report(learn.feature_importance(model), folder, "lgd_importance")
     with_lgd = learn.predict_lgd(model, scored, names, medians)
     if _exists(spark, f"{folder}/survival"):
         exposed = loss.ead_dynamic(with_lgd, _table(spark, folder, "survival"))

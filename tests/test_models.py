@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from lendlens.operators import clean, cox, explain, govern, learn, loss, metrics, scoring, survival, uplift
+from lendlens.operators import boosting, clean, cox, explain, govern, learn, loss, metrics, scoring, survival, uplift
 from lendlens.sources.session import stage
 
 
@@ -330,9 +330,9 @@ def test_lgd_model_roundtrip(loans, tmp_path):
     model, names, medians = learn.fit_lgd(loans, trees=5)
     predicted = learn.predict_lgd(model, loans, names, medians)
     assert predicted.where("LGD < 0.05 or LGD > 0.95").count() == 0 and predicted.count() == 100
-    assert learn.feature_importance(model, names).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+    assert learn.feature_importance(model).agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
     model.write().overwrite().save(str(tmp_path / "lgd"))
-    again = learn.predict_lgd(learn.PipelineModel.load(str(tmp_path / "lgd")), loans, names, medians)
+    again = learn.predict_lgd(boosting.BoostedTreesModel.load(str(tmp_path / "lgd")), loans, names, medians)
     both = predicted.select("SK_ID_CURR", "LGD").join(again.select("SK_ID_CURR", F.col("LGD").alias("l2")), "SK_ID_CURR")
     assert both.where("LGD <> l2").count() == 0
 

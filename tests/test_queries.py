@@ -10,14 +10,15 @@ from compare import compare
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Fits repeat the same training several times; one per family runs here.
-FITS = ("cox_fit", "fit_logistic", "json_report")
+LONG = ("fit_gbt_benchmark", "fit_gbt_champion")  # hundreds of trees; test_boosting.py grows fewer
+FITS = ("cox_fit", "hazard_ratios", "term_structure", "pd_score")
 
 
 def test_keys_agree():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - set(LONG)))
 def test_query_matches_sql(spark, name):
     assert compare(spark, SF, QUERIES[name], ORACLES[name]) is None
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendlens.llm.bpe import ByteBPE, opened
-from lendlens.llm.common import ready
+from lendlens.llm.common import grouped, ready
 from lendlens.sources.session import stage
 
 #: A text held by more than a PARTS-th of the documents is dealt to that many tasks in the join back.
@@ -113,14 +113,15 @@ def _align_texts(texts: DataFrame, byte_file: str, piece_file: str, width: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(byte_file, piece_file)
         for batch in batches:
-            held = batch["t"].to_pylist()
             n_a, n_b, links, digests = [], [], [], []
-            for text, ids in zip(held, aligner.b.ids(held), strict=True):
-                found = aligner.align(text, ids)
-                n_a.append(len(found.a) if found else 0)
-                n_b.append(len(found.b) if found else 0)
-                links.append(found.a[found.a_ends] * width + found.b[found.b_ends] if found else np.zeros(0, np.int64))
-                digests.append(hashlib.sha256(aligner.groups(found)).hexdigest() if found else "")
+            for _, texts in grouped(batch["t"].to_pylist()):  # ids of a few texts at once
+                for text, ids in zip(texts, aligner.b.ids(texts), strict=True):
+                    found = aligner.align(text, ids)
+                    n_a.append(len(found.a) if found else 0)
+                    n_b.append(len(found.b) if found else 0)
+                    pairs = found.a[found.a_ends] * width + found.b[found.b_ends] if found else np.zeros(0, np.int64)
+                    links.append(pairs)
+                    digests.append(hashlib.sha256(aligner.groups(found)).hexdigest() if found else "")
             starts = np.cumsum([0] + [len(x) for x in links])
             arrays = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *links])))
             columns = [batch["key"], batch["copies"], n_a, n_b, arrays, digests]

@@ -7,6 +7,7 @@ the tokenizer library itself, so the ids are the same for every text.
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -42,15 +43,20 @@ def token_bytes(vocabulary: dict[str, int], skip: set[int], word_end: str = "")
 
 class _File:
     def __init__(self, path: str, word_end: str = ""):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as file:
             known = json.load(file)
         self.special = {x["content"]: x["id"] for x in known["added_tokens"]}
         self.ranks = token_bytes(known["model"]["vocab"], set(self.special.values()), word_end)
 
+    @functools.cached_property
+    def library(self):
+        """The tokenizer library's own encoder, loaded when a text needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _by_library(self, text: str, special: bool) -> np.ndarray:
         self.library.encode_special_tokens = not special
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")

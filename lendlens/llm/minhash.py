@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from lendlens.llm.common import CHUNK, mix, ready
+from lendlens.llm.common import CHUNK, dealt_join, mix, ready
 from lendlens.llm.components import components
 from lendlens.sources.session import stage
 
@@ -137,9 +137,8 @@ def _agreeing(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``i, t`` of the documents in ``nodes`` (column ``i``), each once."""
-    found = docs.join(nodes.distinct(), "i", "left_semi").groupBy("i").agg(F.min("t").alias("t"))
-    return stage(found, "minhash-texts")
+    """``i, t`` of the documents in ``nodes`` (column ``i``): every text of an id, each once."""
+    return stage(docs.join(nodes.distinct(), "i", "left_semi").distinct(), "minhash-texts")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -158,7 +157,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     a = texts.select(F.col("i").alias("a"), F.col("t").alias("ta"))
     b = texts.select(F.col("i").alias("b"), F.col("t").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").where(similar("ta", "tb")).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").where(similar("ta", "tb")).select("a", "b").distinct()
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:
@@ -168,22 +167,22 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _compact(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, small, keys, half``: the lowest byte of each minimum, a 64-bit hash of each band's whole minima, and the
-    lower halves of the set's hashes, sorted."""
+    """``node, small, keys, whole``: the lowest byte of each minimum, a 64-bit hash of each band's whole minima, and the
+    whole set, sorted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            small, keys, half = [], [], []
+            small, keys, whole = [], [], []
             for text in batch["t"]:
                 found = shingles(text)
                 least = signature(found)
                 small.append(least.astype(np.uint8).tobytes())
                 keys.append(band_keys(least).tobytes())
-                half.append(np.sort(found.astype("<u4")).tobytes())
-            yield pd.DataFrame({"node": batch["i"], "small": small, "keys": keys, "half": half})
+                whole.append(found.tobytes())
+            yield pd.DataFrame({"node": batch["i"], "small": small, "keys": keys, "whole": whole})
 
     chosen = texts.join(nodes.select(F.col("node").alias("i")).distinct(), "i", "left_semi")
-    return stage(chosen.mapInPandas(run, "node bigint, small binary, keys binary, half binary"), "minhash-compact")
+    return stage(chosen.mapInPandas(run, "node bigint, small binary, keys binary, whole binary"), "minhash-compact")
 
 
 class _Forest:
@@ -203,15 +202,15 @@ class _Forest:
 def _compare(group: pd.DataFrame) -> pd.DataFrame:
     """Links between the components of one group of bucket members, just enough of them to join what can be joined.
 
-    Signatures drop most pairs; the halves of the hashes never count too few shared shingles, so
-    no link is missed. Each pair is looked at in the first band only whose whole minima it shares.
+    Signatures drop most pairs; the others are compared on their whole sets before their components
+    count as joined. Each pair is looked at in the first band only whose whole minima it shares.
     """
     group = group.sort_values(["visitor", "node"], kind="stable")
     small = np.frombuffer(b"".join(group["small"]), np.uint8).reshape(len(group), -1)
     keys = np.frombuffer(b"".join(group["keys"]), np.uint64).reshape(len(group), -1)
     part, node, visitor = (group[c].to_numpy() for c in ("component", "node", "visitor"))
     band, main = int(group["band"].iloc[0]), group["main"].to_numpy()
-    sets = [np.frombuffer(x, "<u4") for x in group["half"]]
+    sets = [np.frombuffer(x, np.uint64) for x in group["whole"]]
     size = np.array([len(x) for x in sets])
     own = int((~visitor).sum())
     within = bool(group["first"].iloc[0])
@@ -250,8 +249,10 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
     sizes = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("x"), F.sum("n").alias("all"))
     blocks = F.ceil(F.col("all") / F.lit(float(BLOCK))).cast("int").alias("blocks")
     stretches = F.greatest(F.lit(1), F.ceil((F.col("all") - F.col("x.n")) / F.lit(4.0 * BLOCK)).cast("int"))
-    sizes = sizes.select("key", F.col("x.component").alias("largest"), blocks, stretches.alias("stretches"))
-    placed = members.join(sizes, "key").withColumn("main", F.col("component") == F.col("largest"))
+    named = (F.col("x.component").alias("largest"), blocks, stretches.alias("stretches"), "all")
+    sizes = stage(sizes.select("key", *named), "minhash-sizes")
+    placed = dealt_join(members, sizes, "key", "all", "node").drop("all")
+    placed = placed.withColumn("main", F.col("component") == F.col("largest"))
     place = lambda seed, n: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
     placed = placed.withColumn("block", place(1, "blocks")).withColumn("stretch", place(2, "stretches"))
     kept = ("key", "band", "node", "component", "main")
@@ -274,7 +275,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest id reachable, ``kept`` whether that is the row's own. A null or blank text has no
     shingles and is linked with nothing. A row with a null id takes part in no link and is kept,
     its component null. Repeated rows give repeated rows; rows that share an id but not a text
-    each have the component of their own text's set. An empty table gives no rows; other columns
+    are one document, linked with whatever one of its texts is linked with. Buckets that hold a large
+    share of all rows are dealt to several tasks. An empty table gives no rows; other columns
     are ignored.
     """
     ready(docs.sparkSession)
@@ -288,7 +290,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = F.array(*[F.xxhash64(F.lit(k), F.substring("sig", 1 + k * width, width)) for k in range(BANDS)])
     entries = sets.select("node", F.posexplode(bands).alias("band", "key"))
     buckets = entries.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = stage(entries.join(buckets, "key").where("node != least"), "minhash-buckets")
+    buckets = stage(buckets, "minhash-counts")
+    shared = stage(dealt_join(entries, buckets, "key", "c", "node").where("node != least"), "minhash-buckets")
     stars = shared.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     pairs = stage(_agreeing(stars, sets), "minhash-pairs")
     crowded = shared.where("c > 2").select("key", "band", "node")
@@ -298,9 +301,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = stage(components(first), "minhash-groups")
     placed = crowded.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stage(placed.select("key", "band", "node", "component"), "minhash-placed")
-    split = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    rest = stage(placed.join(split.select("key"), "key", "left_semi"), "minhash-rest")
-    second = stage(_linked(_across(rest, texts), texts), "minhash-more-links")
+    ends = (F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("held"))
+    split = stage(placed.groupBy("key").agg(*ends).where("lo < hi").select("key", "held"), "minhash-split")
+    rest = stage(dealt_join(placed, split, "key", "held", "node").drop("held"), "minhash-rest")
+    second = stage(_across(rest, texts), "minhash-more-links")
     if not second.isEmpty():
         groups = components(first.union(second))
     named = sets.select("s1", "s2", "node").join(groups, "node", "left")

@@ -469,6 +469,24 @@ def test_pairs_equal_in_low_bytes_only_are_compared_later(spark):
     assert [tuple(r) for r in minhash._across(members, texts).collect()] == [(2, 1)]
 
 
+def test_texts_under_one_id_lose_no_link(spark):
+    """Two texts share id 1; what is near to either of them is linked with it."""
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a + " more"), (4, "something else that is alone here")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(frame).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_hot_buckets_are_dealt_to_several_tasks(spark):
+    """Most sets lie in the same buckets; dealing them out changes no component."""
+    words = [f"w{k}" for k in range(90)]
+    texts = [" ".join([*words[: k % 7 + 80], f"x{k}"]) for k in range(300)] + [f"alone {k} with its own few words" for k in range(30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = minhash.near_duplicates(frame).toPandas().set_index("doc_id").component_id.to_dict()
+    assert got == _plain_components(list(range(len(texts))), texts)
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(odd).collect()}
     assert {(None, 1, None, True), (1, 0, 1, True), (2, 0, 2, True), (3, 2, 3, True), (5, 0, 5, True)} <= got

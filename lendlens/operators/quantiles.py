@@ -1,204 +1,144 @@
-"""Exact quantiles and order statistics by distributed selection.
-
-Spark's ``percentile`` keeps every distinct value of a column in one task.
-Here each pass is a map-side scan with a tiny aggregate: a quantile sketch
-names two bracketing values, exact counts tell which side of them holds the
-wanted rank, and the interval shrinks by a factor of thousands until the few
-values left can be sorted. Results are exact, whatever the sketch says: where it
-names no value that narrows the interval (integers too large for a double), the
-interval is halved instead.
+"""Exact quantiles and order statistics by counting slices of an order-preserving integer key.
+
+Spark's ``percentile`` keeps every distinct value of a column in one task. Here every value becomes
+an unsigned 64-bit number in the same order, and its bits are fixed from the top in four passes: a
+pass counts, for all columns and ranks at once, the values that share the bits found so far by their
+next sixteen. Each task adds up its own counts before the shuffle, so nothing but counts moves,
+every column takes the same path at every size, and results are exact.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ByteType, DataType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType
+
+from lendlens.sources.session import let_workers_import
+
+SLICE = 16
+PASSES = 64 // SLICE
+SLOTS = 1 << SLICE
+_TOP = np.uint64(1 << 63)
+
+_WHOLE = (ByteType, ShortType, IntegerType, LongType)
+
+
+def _plain(value: Column, kind: DataType) -> tuple[Column, bool]:
+    """The column as bigint or double, and whether it is whole."""
+    if isinstance(kind, _WHOLE):
+        return value.cast("bigint"), True
+    if isinstance(kind, (DoubleType, FloatType, DecimalType)):
+        return value.cast("double"), False
+    if isinstance(kind, DateType):
+        return F.unix_date(value).cast("bigint"), True
+    raise TypeError(f"no order-preserving key for {kind.simpleString()}")
+
+
+def to_keys(values: np.ndarray) -> np.ndarray:
+    """Unsigned numbers in the order of 64-bit integers or doubles; -0.0 is 0.0, NaN is the largest."""
+    if values.dtype.kind == "i":
+        return values.astype(np.int64).view(np.uint64) ^ _TOP
+    plain = np.where(np.isnan(values), np.nan, values + 0.0)
+    bits = plain.view(np.uint64)
+    return np.where(bits & _TOP, ~bits, bits | _TOP)
 
-# Values small enough in number to be sorted inside one aggregate.
-SORT_LIMIT = 250_000
-SKETCH_ACCURACY = 10_000
-BRACKET = 2.0 / SKETCH_ACCURACY
+
+def from_key(key: int, whole: bool) -> int | float:
+    bits = np.array([key], np.uint64)
+    if whole:
+        return int((bits ^ _TOP).view(np.int64)[0])
+    return float(np.where(bits & _TOP, bits ^ _TOP, ~bits).view(np.float64)[0])
 
 
 @dataclass
 class _Search:
-    """Open interval (low, high) known to hold the value of a given rank."""
+    """The bits found so far of the value at a rank; ``rank`` counts within the values that share them."""
 
-    name: str
-    value: Column
+    column: int
     rank: int
-    below: int
-    size: int
-    low: object = None
-    high: object = None
-    found: object = None
-    done: bool = False
-    stuck: bool = False
-
-    def inside(self) -> Column:
-        keep = self.value.isNotNull()
-        if self.low is not None:
-            keep = keep & (self.value > F.lit(self.low))
-        if self.high is not None:
-            keep = keep & (self.value < F.lit(self.high))
-        return F.when(keep, self.value)
-
-    def cut(self, low: object, high: object) -> None:
-        """Narrow the interval; ends outside it (a rounded sketch) leave it as it is."""
-        if low is not None and (self.low is None or low > self.low):
-            self.low = low
-        if high is not None and (self.high is None or high < self.high):
-            self.high = high
-
-    def settle(self, value: object) -> None:
-        self.found, self.done = value, True
-
-
-def _bracket_points(share: float) -> list[float]:
-    return [max(0.0, share - BRACKET), min(1.0, share + BRACKET)]
-
-
-def _run(df: DataFrame, columns: Mapping[str, Column]) -> dict[str, object]:
-    if not columns:
-        return {}
-    return df.agg(*(c.alias(n) for n, c in columns.items())).first().asDict()
-
-
-def _sketch(value: Column, share: float) -> Column:
-    points = F.array(*(F.lit(p) for p in _bracket_points(share)))
-    return F.percentile_approx(value, points, SKETCH_ACCURACY)
-
-
-def _middle(low, high):
-    """A value between the two, at either end at the most; exact for integers."""
-    return low + (high - low) // 2 if isinstance(low, int) else low / 2 + high / 2
-
-
-def _narrow(df: DataFrame, searches: Sequence[_Search]) -> None:
-    """One sketch pass and one counting pass; every interval loses its ends, or its half after a pass in vain."""
-    plan = {}
-    for i, s in enumerate(searches):
-        share = (s.rank - s.below) / max(1, s.size - 1)
-        ends = F.array(F.min(s.inside()), F.max(s.inside()))
-        plan[f"s{i}"] = ends if s.stuck else _sketch(s.inside(), share)
-    sketches = _run(df, plan)
-    for i, s in enumerate(searches):
-        if s.stuck:
-            sketches[f"s{i}"] = [_middle(*sketches[f"s{i}"])] * 2
-    sizes = [s.size for s in searches]
-
-    plan = {}
-    for i, s in enumerate(searches):
-        a, b = (F.lit(v) for v in sketches[f"s{i}"])
-        x = s.inside()
-        plan[f"c{i}"] = F.array(
-            F.count_if(x < a), F.count_if(x == a), F.count_if((x > a) & (x < b)), F.count_if(x == b)
-        )
-    counts = _run(df, plan)
-
-    for i, s in enumerate(searches):
-        a, b = sketches[f"s{i}"]
-        before_a, at_a, between, at_b = counts[f"c{i}"]
-        if a == b:
-            between = at_b = 0
-        offset = s.rank - s.below
-        if offset < before_a:
-            s.cut(None, a)
-            s.size = before_a
-            continue
-        if offset < before_a + at_a:
-            s.settle(a)
-            continue
-        if a != b and offset < before_a + at_a + between:
-            s.cut(a, b)
-            s.below, s.size = s.below + before_a + at_a, between
-            continue
-        if a != b and offset < before_a + at_a + between + at_b:
-            s.settle(b)
-            continue
-        passed = before_a + at_a + between + at_b
-        s.cut(b, None)
-        s.below, s.size = s.below + passed, s.size - passed
-
-    for s, size in zip(searches, sizes):
-        s.stuck = s.size == size
-
-
-def _sort_rest(df: DataFrame, searches: Sequence[_Search]) -> None:
-    """Sort the few values left in each interval and pick by position.
-
-    Searches that share an interval share one sorted list.
+    bits: int = 0
+
+
+def _count_slices(df: DataFrame, searched: Sequence[tuple[int, int]], done: int) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """Per (column, bits found so far): the next slices that occur, in order, and how often.
+
+    At most SLOTS numbers per entry reach the driver.
     """
-    groups: dict[tuple, list[_Search]] = {}
-    for s in searches:
-        groups.setdefault((s.name, s.low, s.high), []).append(s)
-    plan = {}
-    for i, members in enumerate(groups.values()):
-        ordered = F.sort_array(F.collect_list(members[0].inside()))
-        picks = [F.element_at(ordered, F.lit(s.rank - s.below + 1)) for s in members]
-        plan[f"p{i}"] = F.array(*picks)
-    picked = _run(df, plan)
-    for i, members in enumerate(groups.values()):
-        for s, value in zip(members, picked[f"p{i}"]):
-            s.settle(value)
+    wanted = list(searched)
+    shift = np.uint64(64 - SLICE * (done + 1))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(wanted), SLOTS), np.int64)
+        for batch in batches:
+            keys = {}
+            for number, (column, bits) in enumerate(wanted):
+                if column not in keys:
+                    keys[column] = to_keys(batch.column(column).drop_null().to_numpy(zero_copy_only=False))
+                mine = keys[column] >> shift
+                if done:
+                    mine = mine[mine >> np.uint64(SLICE) == np.uint64(bits)]
+                counts[number] += np.bincount((mine & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+        number, slot = np.nonzero(counts)
+        yield pa.RecordBatch.from_pydict({"number": number, "slot": slot, "n": counts[number, slot]})
+
+    counted = df.mapInArrow(fold, "number bigint, slot bigint, n bigint").groupBy("number", "slot").agg(F.sum("n").alias("n"))
+    found = counted.toArrow().sort_by([("number", "ascending"), ("slot", "ascending")])
+    number, slot, n = (found[c].to_numpy() for c in ("number", "slot", "n"))
+    return {key: (slot[number == i], n[number == i]) for i, key in enumerate(wanted)}
 
 
 def select_ranks(
-    df: DataFrame,
-    wanted: Mapping[str, tuple[Column, Callable[[int], Sequence[int]]]],
-    limit: int = SORT_LIMIT,
+    df: DataFrame, wanted: Mapping[str, tuple[Column, Callable[[int], Sequence[int]]]]
 ) -> dict[str, tuple[int, list]]:
     """Values at 0-based ranks of each column's sorted non-null values.
 
-    ``wanted`` maps a name to a column and to a function from the non-null
-    count to the ranks. Returns (count, values) per name; ranks outside the
-    data give None. Only counts and the selected scalars reach the driver.
+    ``wanted`` maps a name to a column (whole numbers, dates, or anything that is a double) and to a
+    function from the non-null count to the ranks. Returns (count, values) per name; ranks outside
+    the data give None, dates come back as days.
     """
-    counts = _run(df, {name: F.count(value) for name, (value, _) in wanted.items()})
-    slots: dict[str, list[_Search | None]] = {}
-    for name, (value, ranks_of) in wanted.items():
-        n = counts[name]
-        slots[name] = [
-            _Search(name, value, rank, 0, n) if 0 <= rank < n else None for rank in ranks_of(n)
-        ]
-    searches = [s for group in slots.values() for s in group if s is not None]
-
-    wide = [s for s in searches if s.size > limit]
-    while wide:
-        _narrow(df, wide)
-        wide = [s for s in wide if not s.done and s.size > limit]
-    rest = [s for s in searches if not s.done]
-    if rest:
-        _sort_rest(df, rest)
+    if not wanted:
+        return {}
+    let_workers_import(df.sparkSession)
+    names = list(wanted)
+    columns = df.select(*(wanted[c][0].alias(f"c{i}") for i, c in enumerate(names)))
+    plain = [_plain(F.col(f"c{i}"), f.dataType) for i, f in enumerate(columns.schema)]
+    keyed = columns.select(*(c.alias(f"c{i}") for i, (c, _) in enumerate(plain)))
+
+    first = _count_slices(keyed, [(i, 0) for i in range(len(names))], 0)
+    totals = [int(first[i, 0][1].sum()) for i in range(len(names))]
+    slots: list[list[_Search | None]] = []
+    for i, name in enumerate(names):
+        ranks = wanted[name][1](totals[i])
+        slots.append([_Search(i, int(r)) if 0 <= r < totals[i] else None for r in ranks])
+    searches = [s for group in slots for s in group if s is not None]
+    counted = first
+    for done in range(PASSES):
+        if done:
+            counted = _count_slices(keyed, sorted({(s.column, s.bits) for s in searches}), done) if searches else {}
+        for s in searches:
+            slot, n = counted[s.column, s.bits]
+            ends = n.cumsum()
+            at = int(np.searchsorted(ends, s.rank, side="right"))
+            s.rank -= int(ends[at] - n[at])
+            s.bits = s.bits << SLICE | int(slot[at])
     return {
-        name: (counts[name], [None if s is None else s.found for s in group])
-        for name, group in slots.items()
+        name: (totals[i], [None if s is None else from_key(s.bits, plain[i][1]) for s in slots[i]])
+        for i, name in enumerate(names)
     }
 
 
-def exact_quantiles(
-    df: DataFrame,
-    wanted: Mapping[str, tuple[Column, Sequence[float]]],
-    limit: int = SORT_LIMIT,
-) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, wanted: Mapping[str, tuple[Column, Sequence[float]]]) -> dict[str, list[float | None]]:
     """Linear-interpolation quantiles; None for a column without values."""
 
     def ranks_for(points: Sequence[float]) -> Callable[[int], list[int]]:
-        def ranks(n: int) -> list[int]:
-            out = []
-            for p in points:
-                position = p * (n - 1)
-                out += [math.floor(position), math.ceil(position)]
-            return out
-
-        return ranks
-
-    selected = select_ranks(
-        df, {name: (value, ranks_for(points)) for name, (value, points) in wanted.items()}, limit
-    )
+        return lambda n: [r for p in points for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))]
+
+    selected = select_ranks(df, {name: (value, ranks_for(points)) for name, (value, points) in wanted.items()})
     result: dict[str, list[float | None]] = {}
     for name, (_, points) in wanted.items():
         n, values = selected[name]
@@ -213,7 +153,7 @@ def exact_quantiles(
     return result
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], limit: int = SORT_LIMIT) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Median per column, skipping nulls."""
-    found = exact_quantiles(df, {c: (F.col(c).cast("double"), [0.5]) for c in columns}, limit)
+    found = exact_quantiles(df, {c: (F.col(c).cast("double"), [0.5]) for c in columns})
     return {c: v[0] for c, v in found.items()}

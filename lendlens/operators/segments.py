@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendlens.functions.columns import age_years, band, label
 from lendlens.operators.features import repayment_scalars
 from lendlens.operators.prefix import attach_by_value, find_cuts, running_sums
+from lendlens.sources.session import let_workers_import, stage
 
 # Bin edges [a, b) and labels.
 AGE_EDGES = (18, 25, 35, 45, 55, 65, 100)
@@ -133,26 +136,79 @@ def repay_target_join(apps: DataFrame, profiles: DataFrame) -> DataFrame:
     return apps.select(*wanted).join(profiles, "SK_ID_CURR")
 
 
-def _correlations(df: DataFrame, columns: Sequence[str], rows: Sequence[Column], pair) -> DataFrame:
-    """Long correlation matrix from one grouped aggregate.
+def _pair_moments(wide: DataFrame, k: int, variants: Sequence[int]) -> DataFrame:
+    """``i, j, n`` and centred moments of every pair of ``k`` variables, one row per pair and task before the sum.
 
-    ``rows`` are structs, one per variable, whose first field is its position;
-    each input row is repeated once per variable, so an aggregate holds one
-    matrix row (a few correlations) instead of every pair at once.
-    ``pair(j)`` names the two columns to correlate for the other variable j.
+    ``wide`` has an array column v0, v1, ... per variable, null in a gap. For the pair (i, j), element
+    ``variants[j]`` of v_i meets element ``variants[i]`` of v_j. Values are centred by the caller.
     """
-    repeated = df.select("*", F.inline(F.array(*rows)))
-    by_row = repeated.groupBy("position").agg(*(F.corr(*pair(j)).alias(f"r{j}") for j in range(len(columns))))
-    entries = [F.struct(F.lit(c).alias("other"), F.col(f"r{j}").alias("correlation")) for j, c in enumerate(columns)]
-    return by_row.select(label(F.col("position"), columns).alias("variable"), F.inline(F.array(*entries)))
+    width = 1 + max(variants, default=0)
+    names = ["n", "sx", "sy", "sxx", "syy", "sxy", "lx", "hx", "ly", "hy"]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = [(i, j) for i in range(k) for j in range(i)]
+        total = np.zeros((len(pairs), 6))
+        ends = np.tile([np.inf, -np.inf, np.inf, -np.inf], (len(pairs), 1))
+        for batch in batches:
+            known = np.array([np.asarray(c.is_valid()) for c in batch.columns])
+            values = np.zeros((k, width, batch.num_rows))
+            for i, c in enumerate(batch.columns):
+                values[i][:, known[i]] = c.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, width).T
+            for at, (i, j) in enumerate(pairs):
+                both = known[i] & known[j]
+                if not both.any():
+                    continue
+                x, y = values[i, variants[j]][both], values[j, variants[i]][both]
+                total[at] += [both.sum(), x.sum(), y.sum(), x @ x, y @ y, x @ y]
+                ends[at, ::2] = np.minimum(ends[at, ::2], [x.min(), y.min()])
+                ends[at, 1::2] = np.maximum(ends[at, 1::2], [x.max(), y.max()])
+        found = {"i": [i for i, _ in pairs], "j": [j for _, j in pairs]}
+        found |= {n: np.column_stack([total, ends])[:, c] for c, n in enumerate(names)}
+        yield pa.RecordBatch.from_pydict(found)
+
+    let_workers_import(wide.sparkSession)
+    kind = "i bigint, j bigint, " + ", ".join(f"{n} double" for n in names)
+    merge = {"lx": F.min, "ly": F.min, "hx": F.max, "hy": F.max}
+    return wide.mapInArrow(fold, kind).groupBy("i", "j").agg(*(merge.get(n, F.sum)(n).alias(n) for n in names))
+
+
+def _matrix(moments: DataFrame, columns: Sequence[str], known: DataFrame) -> DataFrame:
+    """Both halves and the diagonal of a correlation matrix in long form; null for a constant variable."""
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    spread = F.sqrt((F.col("sxx") - sx * sx / n) * (F.col("syy") - sy * sy / n))
+    varies = (F.col("n") > 1) & (F.col("lx") < F.col("hx")) & (F.col("ly") < F.col("hy"))
+    r = F.when(varies, (F.col("sxy") - sx * sy / n) / spread).alias("correlation")
+    halves = moments.select(F.inline(F.array(F.struct("i", "j", r), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), r))))
+    whole = halves.unionByName(known)
+    name = lambda c: label(F.col(c).cast("int"), columns)
+    return whole.select(name("i").alias("variable"), name("j").alias("other"), "correlation")
+
+
+def _diagonal(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``i, j, correlation`` of each variable with itself: 1, or null where it doesn't vary."""
+    found = df.agg(*(F.struct(F.min(c).alias("l"), F.max(c).alias("h")).alias(c) for c in columns))
+    entries = [
+        F.struct(
+            F.lit(i).cast("bigint").alias("i"),
+            F.lit(i).cast("bigint").alias("j"),
+            F.when(F.col(c)["l"] < F.col(c)["h"], 1.0).alias("correlation"),
+        )
+        for i, c in enumerate(columns)
+    ]
+    return found.select(F.inline(F.array(*entries)))
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
-    """Pairwise-complete Pearson correlations in one pass; null for a constant column."""
+    """Pairwise-complete Pearson correlations; null for a constant column.
+
+    Every pair is worked out once: tasks fold their rows into moments, which are added up.
+    """
     columns = [c for c in columns if c in df.columns]
-    typed = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    rows = [F.struct(F.lit(i).alias("position"), F.col(c).alias("x")) for i, c in enumerate(columns)]
-    return _correlations(typed, columns, rows, lambda j: ("x", columns[j]))
+    typed = stage(df.select(*(F.col(c).cast("double").alias(c) for c in columns)), "pearson")
+    means = typed.agg(*(F.avg(c).alias(c) for c in columns)).first()
+    centred = [F.when(F.col(c).isNotNull(), F.array(F.col(c) - F.lit(means[c] or 0.0))).alias(f"v{i}") for i, c in enumerate(columns)]
+    moments = _pair_moments(typed.select(*centred), len(columns), [0] * len(columns))
+    return _matrix(moments, columns, _diagonal(typed, columns))
 
 
 def spearman_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, key: str = "SK_ID_CURR") -> DataFrame:
@@ -162,11 +218,12 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, key: str
     plain cumulative count of each value, one count per column with gaps
     ("rows at or below this value that know the other column") is accumulated,
     so every pair's ranks come from a single ordered pass over the long table.
+    Ranks return to one row per key, whose pairs are folded as for Pearson.
     """
     columns = [c for c in columns if c in df.columns]
-    known = df.agg(F.count(F.lit(1)).alias("n"), *(F.count(F.col(c)).alias(c) for c in columns)).first()
+    typed = stage(df.select(key, *(F.col(c).cast("double").alias(c) for c in columns)), "spearman")
+    known = typed.agg(F.count(F.lit(1)).alias("n"), *(F.count(F.col(c)).alias(c) for c in columns)).first()
     gappy = [c for c in columns if known[c] < known["n"]]
-    typed = df.select(key, *(F.col(c).cast("double").alias(c) for c in columns))
     present = [F.col(c).isNotNull().cast("int").alias(f"k{i}") for i, c in enumerate(gappy)]
     entries = [F.struct(F.lit(i).alias("column"), F.col(c).alias("value")) for i, c in enumerate(columns)]
     long = typed.select(key, *present, F.inline(F.array(*entries))).where("value is not null")
@@ -174,21 +231,13 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, key: str
     counters = {"n": F.count(F.lit(1))} | {f"k{i}": F.sum(f"k{i}") for i in range(len(gappy))}
     cuts = find_cuts(long, "value")
     sums = running_sums(long, "value", counters, ["column"], cuts)
-    per_counter = F.array(*(F.col(f"{n}_before") + (F.col(n) + 1) / 2 for n in counters))
+    middle = F.lit(known["n"] / 2)  # keeps the sums of squares small
+    per_counter = F.array(*(F.col(f"{n}_before") + (F.col(n) + 1) / 2 - middle for n in counters))
     ranks = sums.select("column", "value", per_counter.alias("ranks"))
     ranked = attach_by_value(long.select(key, "column", "value"), ranks, "value", cuts, ["column"])
 
-    # One list per client, at most one entry per variable.
-    packed = ranked.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("column", "ranks"))).alias("ranks"))
-    wide = packed.select(*(F.try_element_at("ranks", F.lit(i)).alias(f"v{i}") for i in range(len(columns))))
-
-    def rank_given(i: int, other: str) -> Column:
-        counter = 1 + gappy.index(other) if other in gappy else 0
-        return F.get(f"v{i}", F.lit(counter))
-
-    rows = []
-    for i, a in enumerate(columns):
-        x = [F.when(F.col(f"v{j}").isNotNull(), rank_given(i, b)).alias(f"x{j}") for j, b in enumerate(columns)]
-        y = [rank_given(j, a).alias(f"y{j}") for j in range(len(columns))]
-        rows.append(F.struct(F.lit(i).alias("position"), *x, *y))
-    return _correlations(wide, columns, rows, lambda j: (f"x{j}", f"y{j}"))
+    # One row per client, at most one entry per variable.
+    mine = lambda i: F.max(F.when(F.col("column") == i, F.col("ranks"))).alias(f"v{i}")
+    wide = ranked.groupBy(key).agg(*(mine(i) for i in range(len(columns)))).drop(key)
+    variants = [1 + gappy.index(c) if c in gappy else 0 for c in columns]
+    return _matrix(_pair_moments(wide, len(columns), variants), columns, _diagonal(typed, columns))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendlens.operators import prefix, sampling, segments
-from lendlens.operators.quantiles import exact_medians, exact_quantiles, select_ranks
+from lendlens.operators.quantiles import exact_medians, exact_quantiles, from_key, select_ranks, to_keys
 from lendlens.plans.tables import stage
 
 
@@ -27,16 +27,31 @@ def test_selection_ends_on_integers_too_large_for_a_double(spark):
     base = (1 << 60) + 7
     df = stage(spark.range(0, 300, 1, 4).select((F.lit(base) + F.col("id")).alias("x")))
     wanted = [0, 1, 149, 298, 299]
-    n, values = select_ranks(df, {"x": (F.col("x"), lambda n: wanted)}, 10)["x"]
+    n, values = select_ranks(df, {"x": (F.col("x"), lambda n: wanted)})["x"]
     assert n == 300 and values == [base + k for k in wanted]
 
 
-@pytest.mark.parametrize("limit", [3, 40, 250_000])
-def test_quantiles_are_exact_at_any_limit(skewed, limit):
+@pytest.mark.parametrize("rows", [1, 2, 40, 3000])
+def test_quantiles_are_exact_at_any_size(skewed, rows):
     df, frame = skewed
     points = [0.0, 0.01, 0.33, 0.5, 0.66, 0.95, 1.0]
-    found = exact_quantiles(df, {"x": (F.col("x"), points)}, limit)["x"]
-    np.testing.assert_allclose(found, frame.x.quantile(points), rtol=1e-12)
+    some = frame[frame.SK_ID_CURR.between(1, rows)]
+    found = exact_quantiles(df.where(f"SK_ID_CURR between 1 and {rows}"), {"x": (F.col("x"), points)})["x"]
+    np.testing.assert_allclose(found, some.x.quantile(points), rtol=1e-12)
+
+
+def test_keys_keep_the_order_of_all_kinds_of_numbers(spark):
+    doubles = np.array([-np.inf, -1e300, -1.5, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.0000000000000002, 1e300, np.inf, np.nan])
+    keys = to_keys(doubles)
+    assert (np.diff(keys.astype(object)) >= 0).all() and keys[4] == keys[5]
+    assert [from_key(int(k), False) for k in keys[:-1]] == doubles[:-1].tolist() and np.isnan(from_key(int(keys[-1]), False))
+    whole = np.array([-(2**63), -1, 0, 1, 2**63 - 1])
+    assert [from_key(int(k), True) for k in to_keys(whole)] == whole.tolist()
+    mixed = spark.createDataFrame([(1, 2.5, None), (-7, None, None), (3, -0.5, None)], "a int, b double, c float")
+    wanted = {c: (F.col(c), lambda n: [0, n - 1]) for c in "abc"}
+    assert select_ranks(mixed, wanted) == {"a": (3, [-7, 3]), "b": (2, [-0.5, 2.5]), "c": (0, [None, None])}
+    with pytest.raises(TypeError, match="string"):
+        select_ranks(mixed, {"x": (F.lit("x"), lambda n: [0])})
 
 
 def test_ranks_out_of_range_and_all_null(spark, skewed):
@@ -92,24 +107,22 @@ def test_correlations_match_pandas_with_gaps(spark):
             assert r["correlation"] == pytest.approx(expected.loc[r["variable"], r["other"]], abs=1e-9)
 
 
-@pytest.mark.parametrize("limit", [20, 250_000])
-def test_samples_and_splits(skewed, limit):
+def test_samples_and_splits(skewed):
     df, frame = skewed
     hashed = frame.SK_ID_CURR * 2654435761 % 2**32
-    sample = {r[0] for r in sampling.hash_sample(df, 100, limit=limit).select("SK_ID_CURR").collect()}
+    sample = {r[0] for r in sampling.hash_sample(df, 100).select("SK_ID_CURR").collect()}
     assert sample == set(frame.SK_ID_CURR[hashed.argsort()[:100]])
-    assert sampling.hash_sample(df, 10_000, limit=limit).count() == 3000
-    split = sampling.stratified_split(df, "y", limit=limit).groupBy("y", "split").count().collect()
+    assert sampling.hash_sample(df, 10_000).count() == 3000
+    split = sampling.stratified_split(df, "y").groupBy("y", "split").count().collect()
     for y, size in frame.y.value_counts().items():
         assert {r["count"] for r in split if r["y"] == y and r["split"] == "test"} == {int(0.2 * size)}
 
 
-@pytest.mark.parametrize("limit", [20, 250_000])
-def test_top_bottom_breaks_ties_by_key(skewed, limit):
+def test_top_bottom_breaks_ties_by_key(skewed):
     df, frame = skewed
     filled = df.fillna(0.0, ["x"])
     ordered = frame.fillna(0.0).sort_values(["x", "SK_ID_CURR"], ascending=[False, True]).SK_ID_CURR.tolist()
-    tails = sampling.top_bottom(filled, "x", limit=limit).collect()
+    tails = sampling.top_bottom(filled, "x").collect()
     assert {r["SK_ID_CURR"] for r in tails if r["tail"] == "top"} == set(ordered[:600])
     assert {r["SK_ID_CURR"] for r in tails if r["tail"] == "bottom"} == set(ordered[2400:])
 
@@ -119,9 +132,24 @@ def test_sample_splits_shared_hashes_by_key(spark):
     keys = [k + shift for k in range(50) for shift in (0, 2**31)]
     df = spark.createDataFrame([(k,) for k in keys], "SK_ID_CURR bigint")
     ordered = sorted(keys, key=lambda k: (k % 2**31 * 2654435761 % 2**32, k))
-    for limit in (10, 250_000):
-        found = {r[0] for r in sampling.hash_sample(df, 41, limit=limit).collect()}
-        assert found == set(ordered[:41])
+    found = {r[0] for r in sampling.hash_sample(df, 41).collect()}
+    assert found == set(ordered[:41])
+    split = sampling.stratified_split(df.withColumn("s", F.lit("a")), "s", 0.41).where("split = 'test'")
+    assert {r[0] for r in split.collect()} == set(ordered[:41])
+
+
+def test_stratified_split_of_very_many_strata(spark):
+    """100,000 strata of a few rows, one with a third of all rows, and a null one."""
+    key = "if(id % 3 = 0, -1, if(id % 1001 = 7, null, id % 100003))"
+    rows = spark.range(450_000).selectExpr("id as SK_ID_CURR", f"{key} as s")
+    got = sampling.stratified_split(rows, "s", 0.5).toPandas()
+    got["hash"] = got.SK_ID_CURR * 2654435761 % 2**32
+    got["s"] = got.s.fillna(-2)
+    got = got.sort_values(["s", "hash"])
+    groups = got.groupby("s")
+    assert groups.ngroups > 100_000 and len(got) == 450_000
+    want = groups.cumcount() < np.floor(0.5 * groups.hash.transform("size"))
+    assert ((got.split == "test") == want).all()
 
 
 def test_high_risk_first_n(spark):

@@ -8,18 +8,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 PARTS = 256
 
 
-def dealt_join(rows: DataFrame, facts: DataFrame, key: str, size: str, by: str | Column, how: str = "inner") -> DataFrame:
+def dealt_join(
+    rows: DataFrame,
+    facts: DataFrame,
+    key: str,
+    size: str,
+    by: str | Column,
+    how: str = "inner",
+    own_key: str | None = None,
+) -> DataFrame:
     """``rows`` with the columns of ``facts`` (one row per key, ``size``: the key's rows; a written table).
 
     The rows of a hot key are dealt by the hash of ``by`` to several tasks, each with a copy of the
-    key's facts. Null keys match each other. ``how`` is inner or left.
+    key's facts. Null keys match each other. ``how`` is inner or left; ``own_key`` names the key in
+    ``rows`` if it differs.
     """
     total = facts.agg(F.sum(size)).first()[0] or 1
     ways = F.greatest(F.lit(1), F.ceil(F.col(size) * PARTS / F.lit(total))).cast("int")
     plain = facts.withColumnRenamed(key, "__key")
     hot = F.broadcast(plain.select("__key", ways.alias("__ways")).where("__ways > 1"))  # fewer than PARTS keys
     salt = F.pmod(F.xxhash64(by), F.coalesce("__ways", F.lit(1))).cast("int")
-    same = F.col(key).eqNullSafe(F.col("__key"))
+    same = F.col(own_key or key).eqNullSafe(F.col("__key"))
     dealt = rows.join(hot, same, "left").withColumn("__salt", salt).drop("__ways", "__key")
     copies = plain.select("*", F.explode(F.sequence(F.lit(0), ways - 1)).alias("__copy"))
     return dealt.join(copies, same & (F.col("__salt") == F.col("__copy")), how).drop("__salt", "__copy", "__key")

@@ -722,6 +722,8 @@ def oracle_sql() -> dict[str, str]:
     o["encode_categoricals"] = _with(
         f"""select SK_ID_CURR, cast(NAME_CONTRACT_TYPE='Revolving loans' as integer) as NAME_CONTRACT_TYPE,
  cast(case CODE_GENDER when 'M' then 1 when 'XNA' then 2 else 0 end as integer) as CODE_GENDER,
+ cast(case NAME_FAMILY_STATUS when 'Single / not married' then 1 when 'Unknown' then 2 else 0 end as integer) as NAME_FAMILY_STATUS,
+ cast(FLAG_OWN_REALTY='Y' as integer) as FLAG_OWN_REALTY,
  cast({_SEGMENT_CODE.format(c='NAME_EDUCATION_TYPE')} as integer) as NAME_EDUCATION_TYPE,
  cast({_SEGMENT_CODE.format(c='OCCUPATION_TYPE')} as integer) as OCCUPATION_TYPE, 0e0 as FLAG_OWN_CAR from apps""",
         "apps",

@@ -312,9 +312,10 @@ def generic_impute(at):
 
 @query(None)
 def encode_categoricals(at):
-    columns = ["NAME_CONTRACT_TYPE", "CODE_GENDER", "NAME_EDUCATION_TYPE", "OCCUPATION_TYPE"]
-    apps = t.raw_apps(at, "SK_ID_CURR", *columns, "FLAG_OWN_CAR")
-    return encode.encode_categoricals(apps, encode.learn_dictionary(apps, columns), ["FLAG_OWN_CAR"])
+    apps = t.raw_apps(at)
+    columns = [c for c in clean.string_columns(apps) if c != "FLAG_OWN_CAR"]
+    rows = stage(apps.select("SK_ID_CURR", *columns, "FLAG_OWN_CAR"), "categories")
+    return encode.encode_categoricals(rows, encode.learn_dictionary(rows, columns), ["FLAG_OWN_CAR"])
 
 
 @query(None)

@@ -125,6 +125,22 @@ def test_encodings(spark):
     assert encode.readable_name("SOME_RAW_NAME") == "Some Raw Name"
 
 
+def test_dictionary_of_a_million_levels(spark):
+    """Codes follow the levels' order; one level holds a third of the rows, and nulls another part."""
+    value = "if(id % 3 = 0, 'hot', if(id % 7 = 1, null, concat('v', lpad(cast(id as string), 8, '0'))))"
+    rows = spark.range(2_000_000).selectExpr("id", f"{value} as c", "cast(id % 5 as string) as d")
+    found = encode.learn_dictionary(rows, ["c", "d"])
+    levels = found.where("name = 'c'").count()
+    assert levels > 1_000_000 and found.where("name = 'c' and level = 'hot' and code = 0").count() == 1
+    coded = encode.encode_categoricals(rows, found)
+    assert coded.columns == ["id", "c", "d"] and coded.count() == 2_000_000
+    ends = coded.where("id % 3 <> 0 and id % 7 <> 1").agg(F.min("c"), F.max("c"), F.count_distinct("c")).first()
+    assert tuple(ends) == (1, levels - 1, levels - 1)
+    late = coded.where("id = 1999997").first()
+    assert late["c"] == levels - 1 and late["d"] == 2
+    assert coded.where("(id % 3 = 0 or id % 7 = 1) and c <> 0").count() == 0
+
+
 def test_csv_reader(spark, tmp_path):
     df = spark.createDataFrame([(2, -5, None, 10.0), (1, -7, 3.5, None)], "SK_ID_CURR bigint, D int, A double, B double")
     io.csv_sample(df, str(tmp_path / "s"), n=1)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lendlens.functions.columns import age_years, flag, padded_ratio
 from lendlens.operators.profile import row_missing
@@ -148,40 +148,76 @@ def clean_instalments(df: DataFrame) -> DataFrame:
     )
 
 
-def cleaning_report(df: DataFrame, fills: FillValues | None = None) -> DataFrame:
-    """Shape and missing cells before and after, and records touched per step.
-
-    One scan: the raw gap counts travel beside the cleaned row.
+def _repairs(df: DataFrame, fills: FillValues) -> list[tuple[str, str, str | float | None, Column]]:
+    """``step, field, replacement, touched``: what ``clean_applications`` changes, in its order."""
+    missing = lambda c: F.col(c).isNull()
+    found = []
+    if "DAYS_EMPLOYED" in df.columns:
+        found.append(("employment_sentinel", "DAYS_EMPLOYED", None, F.col("DAYS_EMPLOYED") == NOT_EMPLOYED))
+    for c in present(df, tuple(RARE_CODES)):
+        if fills.modes.get(c) is not None:
+            found.append(("rare_code", c, fills.modes[c], F.col(c) == RARE_CODES[c]))
+    for step, columns in (("bureau_zero_fill", BUREAU_COLUMNS), ("social_zero_fill", SOCIAL_COLUMNS)):
+        found += [(step, c, 0.0, missing(c)) for c in present(df, columns)]
+    for step, columns in (("median_fill", AMOUNT_COLUMNS), ("score_fill", SCORE_COLUMNS)):
+        for c in present(df, columns):
+            if fills.medians.get(c) is not None:
+                found.append((step, c, float(fills.medians[c]), missing(c)))
+    # codes that the mode replaced are not null, so only true gaps count here
+    found += [("category_fill", c, MISSING_LABEL, missing(c)) for c in string_columns(df)]
+    return found
+
+
+def _either(replacement: str | float | None) -> tuple[str | None, float | None]:
+    """A text's replacement, or a number's."""
+    return (None, replacement) if isinstance(replacement, float) else (replacement, None)
+
+
+def clean_and_report(df: DataFrame, path: str, fills: FillValues | None = None) -> tuple[DataFrame, DataFrame]:
+    """Writes the cleaned table to ``path``; returns it and the report of what was changed.
+
+    The counters are observed while the table is written, so they cost no scan of their own. The
+    report has one row per step and field (``step, field, replacement, value, records``; a text's
+    replacement or a number's value) and, under the step ``shape``, rows, columns and missing cells before and after.
     """
     fills = fills or learn_fills(df)
-    raw_columns = list(df.columns)
-    zero_filled = present(df, BUREAU_COLUMNS + SOCIAL_COLUMNS)
-    checks = {"missing_cells_before": F.col("__before"), "missing_cells_after": F.col("__after")}
-    marks = {"__before": row_missing(df)}
-    if "DAYS_EMPLOYED" in raw_columns:
-        marks["__anom"] = flag(F.col("DAYS_EMPLOYED") == NOT_EMPLOYED)
-        checks["fixed_employment_sentinel"] = F.col("__anom")
-    for c, code in RARE_CODES.items():
-        if c in raw_columns:
-            marks[f"__{c}"] = flag(F.col(c) == code)
-            checks[f"imputed_{c}"] = F.col(f"__{c}")
-    for c in zero_filled:
-        marks[f"__{c}"] = F.col(c).isNull().cast("int")
-        checks[f"filled_{c}"] = F.col(f"__{c}")
-    marked = df.withColumns(marks)
-    cleaned = clean_applications(marked, fills)
+    repairs = _repairs(df, fills)
+    before = [F.count_if(touched).alias(f"r{i}") for i, (_, _, _, touched) in enumerate(repairs)]
+    seen, left = Observation("before"), Observation("after")
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_missing(df)).alias("missing"), *before)
+    cleaned = clean_applications(watched, fills)
+    out = cleaned.observe(left, F.count(F.lit(1)).alias("rows"), F.sum(row_missing(cleaned)).alias("missing"))
+    out.write.mode("overwrite").parquet(path)
+    old, new = seen.get, left.get
+    rows = [(step, c, *_either(value), int(old[f"r{i}"] or 0)) for i, (step, c, value, _) in enumerate(repairs)]
+    for when, found, columns in (("before", old, df.columns), ("after", new, cleaned.columns)):
+        shape = (("rows", found["rows"]), ("columns", len(columns)), ("missing_cells", found["missing"] or 0))
+        rows += [("shape", f"{name}_{when}", None, None, int(n)) for name, n in shape]
+    spark = df.sparkSession
+    report = spark.createDataFrame(rows, "step string, field string, replacement string, value double, records bigint")
+    return spark.read.schema(out.schema).parquet(path), report
+
+
+def cleaning_report(df: DataFrame, fills: FillValues | None = None) -> DataFrame:
+    """The report of ``clean_and_report`` by one scan, without writing the cleaned table."""
+    fills = fills or learn_fills(df)
+    repairs = _repairs(df, fills)
+    marks = {f"__r{i}": flag(touched) for i, (_, _, _, touched) in enumerate(repairs)} | {"__before": row_missing(df)}
+    cleaned = clean_applications(df.withColumns(marks), fills)
     kept = [c for c in cleaned.columns if not c.startswith("__")]
-    cleaned = cleaned.withColumn("__after", row_missing(cleaned.select(*kept)))
-    counted = cleaned.agg(F.count(F.lit(1)).alias("rows"), *(F.sum(c).cast("bigint").alias(n) for n, c in checks.items()))
-    values = {
-        "rows_before": F.col("rows"),
-        "rows_after": F.col("rows"),
-        "columns_before": F.lit(len(raw_columns)).cast("bigint"),
-        "columns_after": F.lit(len(kept)).cast("bigint"),
-        **{n: F.coalesce(F.col(n), F.lit(0).cast("bigint")) for n in checks},
-    }
-    entries = [F.struct(F.lit(n).alias("item"), c.alias("value")) for n, c in values.items()]
-    return counted.select(F.inline(F.array(*entries)))
+    counted = cleaned.withColumn("__after", row_missing(cleaned.select(*kept))).agg(
+        F.count(F.lit(1)).alias("rows"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*marks, "__after"])
+    )
+    entries = [(step, c, *_either(value), F.col(f"__r{i}")) for i, (step, c, value, _) in enumerate(repairs)]
+    for when, columns in (("before", df.columns), ("after", kept)):
+        shapes = (("rows", F.col("rows")), ("columns", F.lit(len(columns))), ("missing_cells", F.col(f"__{when}")))
+        entries += [("shape", f"{name}_{when}", None, None, value) for name, value in shapes]
+    kinds = {"step": "string", "field": "string", "replacement": "string", "value": "double"}
+    rows = [
+        F.struct(*(F.lit(x).cast(kind).alias(n) for x, (n, kind) in zip(e, kinds.items())), e[4].cast("bigint").alias("records"))
+        for e in entries
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def generic_impute(df: DataFrame) -> DataFrame:

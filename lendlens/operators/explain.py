@@ -82,7 +82,11 @@ def global_attribution(explained: DataFrame, features: Sequence[str]) -> DataFra
 
 
 def adverse_actions(explained: DataFrame, features: Sequence[str], top_n: int = 4) -> DataFrame:
-    """Per client the score and up to ``top_n`` strictly risk-raising reasons, largest first."""
+    """Per client the score and up to ``top_n`` strictly risk-raising reasons, largest first.
+
+    Contributions that carry a ``level`` (categories of a fitted model) show it beside the value.
+    """
+    levelled = "level" in explained.schema["contributions"].dataType.elementType.fieldNames()
     names = F.create_map(*(F.lit(t) for f in features for t in (f, readable_name(f))))
     raising = F.filter("contributions", lambda p: p["contribution"] > 0)
     # Ascending by negated size, then by feature position.
@@ -97,6 +101,7 @@ def adverse_actions(explained: DataFrame, features: Sequence[str], top_n: int =
             k["part"]["feature"].alias("RawFeatureName"),
             F.round(k["part"]["contribution"], 4).alias("Contribution"),
             F.round(k["part"]["value"], 4).alias("FeatureValue"),
+            *([k["part"]["level"].alias("FeatureLevel")] if levelled else []),
         ),
     )
     kept = [c for c in ("SK_ID_CURR", "TARGET") if c in explained.columns]

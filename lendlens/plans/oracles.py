@@ -525,12 +525,10 @@ def oracle_sql() -> dict[str, str]:
     # sources, sinks, profiling
     o["load_applications"] = _with("select * from apps", "apps")
     o["load_installments"] = _with("select SK_ID_CURR, DAYS_INSTALMENT, AMT_INSTALMENT, AMT_PAYMENT from inst", "inst")
-    o["parquet_roundtrip"] = _with(
-        _out("select SK_ID_CURR, TARGET, AMT_ANNUITY, CODE_GENDER, AGE_YEARS from cleaned", ["AMT_ANNUITY", "AGE_YEARS"]), "cleaned"
-    )
-    o["csv_sample"] = _with(
-        "select SK_ID_CURR, TARGET, AMT_CREDIT, NAME_CONTRACT_TYPE from apps order by SK_ID_CURR limit 1000", "apps"
-    )
+    cleaned = ["AMT_CREDIT", "AMT_INCOME_TOTAL", *_AMOUNTS, *_SCORES, "AMT_REQ_CREDIT_BUREAU_YEAR", "DEF_30_CNT_SOCIAL_CIRCLE"]
+    cleaned += ["YEARS_EMPLOYED", "AGE_YEARS", "CREDIT_TO_INCOME_RATIO", "ANNUITY_TO_INCOME_RATIO", "CREDIT_TO_GOODS_RATIO"]
+    o["parquet_roundtrip"] = _with(_out("select * from cleaned", cleaned), "cleaned")
+    o["csv_sample"] = _with("select * from apps order by SK_ID_CURR limit 1000", "apps")
     gaps = " union all ".join(
         f"select '{c}' as \"column\", count(*)-count({c}) as missing_count, (count(*)-count({c}))*1e2/count(*) as missing_pct, '{k}' as dtype from apps"
         for c, k in _ALL
@@ -642,22 +640,27 @@ def oracle_sql() -> dict[str, str]:
         ),
         "apps",
     )
-    report = {
-        "rows_before": "count(*)",
-        "rows_after": "count(*)",
-        "columns_before": "max(22)",
-        "columns_after": "max(31)",
-        "missing_cells_before": _RAW_GAPS,
-        "missing_cells_after": "sum(cast(DAYS_EMPLOYED=365243 as integer))",
-        "fixed_employment_sentinel": "sum(cast(DAYS_EMPLOYED=365243 as integer))",
-        "imputed_CODE_GENDER": "sum(cast(CODE_GENDER='XNA' as integer))",
-        "imputed_NAME_FAMILY_STATUS": "sum(cast(NAME_FAMILY_STATUS='Unknown' as integer))",
-        "filled_AMT_REQ_CREDIT_BUREAU_YEAR": "count(*)-count(AMT_REQ_CREDIT_BUREAU_YEAR)",
-        "filled_DEF_30_CNT_SOCIAL_CIRCLE": "count(*)-count(DEF_30_CNT_SOCIAL_CIRCLE)",
-    }
-    o["cleaning_report"] = _with(
-        " union all ".join(f"select '{k}' as item, cast({v} as bigint) as value from apps" for k, v in report.items()), "apps"
+    texts = ("NAME_CONTRACT_TYPE", "CODE_GENDER", "NAME_FAMILY_STATUS", "NAME_EDUCATION_TYPE", "OCCUPATION_TYPE", "FLAG_OWN_REALTY", "FLAG_OWN_CAR")
+    report = [
+        ("employment_sentinel", "DAYS_EMPLOYED", "null", "null", "sum(cast(DAYS_EMPLOYED=365243 as integer))"),
+        ("rare_code", "CODE_GENDER", f"max({_mode('CODE_GENDER')})", "null", "sum(cast(CODE_GENDER='XNA' as integer))"),
+        ("rare_code", "NAME_FAMILY_STATUS", f"max({_mode('NAME_FAMILY_STATUS')})", "null", "sum(cast(NAME_FAMILY_STATUS='Unknown' as integer))"),
+        ("bureau_zero_fill", "AMT_REQ_CREDIT_BUREAU_YEAR", "null", "0e0", "count(*)-count(AMT_REQ_CREDIT_BUREAU_YEAR)"),
+        ("social_zero_fill", "DEF_30_CNT_SOCIAL_CIRCLE", "null", "0e0", "count(*)-count(DEF_30_CNT_SOCIAL_CIRCLE)"),
+        *(("median_fill", c, "null", f"median({c})", f"count(*)-count({c})") for c in _AMOUNTS),
+        *(("score_fill", c, "null", f"median({c})", f"count(*)-count({c})") for c in _SCORES),
+        *(("category_fill", c, "'Unknown_Missing'", "null", f"count(*)-count({c})") for c in texts),
+        *(("shape", f"rows_{when}", "null", "null", "count(*)") for when in ("before", "after")),
+        ("shape", "columns_before", "null", "null", "max(22)"),
+        ("shape", "columns_after", "null", "null", "max(31)"),
+        ("shape", "missing_cells_before", "null", "null", _RAW_GAPS),
+        ("shape", "missing_cells_after", "null", "null", "sum(cast(DAYS_EMPLOYED=365243 as integer))"),
+    ]
+    lines = " union all ".join(
+        f"select '{step}' as step, '{c}' as field, cast({text} as varchar) as replacement, cast({number} as double) as value, cast({n} as bigint) as records from apps"
+        for step, c, text, number, n in report
     )
+    o["cleaning_report"] = _with(_out(lines, ["value"]), "apps")
     o["clean_applications"] = _with(
         _out(
             "select * exclude (AMT_CREDIT, AMT_INCOME_TOTAL) from cleaned",
@@ -709,16 +712,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "apps",
     )
-    o["generic_impute"] = _with(
-        _out(
-            f"""select cast(SK_ID_CURR as double) as SK_ID_CURR, coalesce(OCCUPATION_TYPE,{_mode('OCCUPATION_TYPE')}) as OCCUPATION_TYPE,
- coalesce(CODE_GENDER,{_mode('CODE_GENDER')}) as CODE_GENDER, {', '.join(f'coalesce({c}, m_{c}) as {c}' for c in _AMOUNTS)},
- coalesce(EXT_SOURCE_1,m_EXT_SOURCE_1) as EXT_SOURCE_1 from apps, med""",
-            ["SK_ID_CURR", *_AMOUNTS, "EXT_SOURCE_1"],
-        ),
-        "apps",
-        "med",
-    )
+    numbers = [c for c, k in _ALL if k != "string"]
+    filled = [f"coalesce(cast({c} as double), (select median({c}) from apps)) as {c}" for c in numbers]
+    filled += [f"coalesce({c}, {_mode(c)}) as {c}" for c, k in _ALL if k == "string"]
+    o["generic_impute"] = _with(_out(f"select {', '.join(filled)} from apps", numbers), "apps")
     o["encode_categoricals"] = _with(
         f"""select SK_ID_CURR, cast(NAME_CONTRACT_TYPE='Revolving loans' as integer) as NAME_CONTRACT_TYPE,
  cast(case CODE_GENDER when 'M' then 1 when 'XNA' then 2 else 0 end as integer) as CODE_GENDER,
@@ -762,7 +759,12 @@ def oracle_sql() -> dict[str, str]:
     )
 
     # a reloaded model scores every application exactly as the fitted one
-    o["model_roundtrip"] = _with(_out("select count(*) as n, 0e0 as max_gap from apps", ["max_gap"]), "apps")
+    o["model_roundtrip"] = _with(
+        " union all ".join(
+            f"select '{m}' as model, count(*) as n, cast(0 as bigint) as changed from apps" for m in ("regression", "trees", "hazard", "codes")
+        ),
+        "apps",
+    )
 
     # joins and aggregations
     repay_doubles = [
@@ -998,6 +1000,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "surv",
     )
+    o["uplift_t_learner"] = _with(
+        f"""select count(*) as clients, cast(count(*) filter (where {_hash()}<2147483648) as bigint) as treated, true as effects_inside
+ from feat where {_hash()}<858993459""",
+        "feat",
+    )
+    o["fitted_notices"] = _with(
+        _out("select count(*) as clients, 0e0 as largest_gap, cast(4 as integer) as most_reasons from apps", ["largest_gap"]), "apps"
+    )
     o["json_report"] = o["tier_breakdown"]
 
     # loss

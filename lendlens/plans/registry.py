@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lendlens.functions.columns import steady_round
@@ -17,6 +18,7 @@ from lendlens.operators import (
     encode,
     explain,
     features,
+    fitted,
     govern,
     learn,
     loss,
@@ -110,16 +112,15 @@ def load_installments(at):
 
 @query()
 def parquet_roundtrip(at):
-    back = io.write_parquet(t.clean_apps(at), fresh_path(at[0], "cleaned"))
-    return back.select("SK_ID_CURR", "TARGET", "AMT_ANNUITY", "CODE_GENDER", "AGE_YEARS")
+    return io.write_parquet(t.clean_apps(at), fresh_path(at[0], "cleaned"))
 
 
 @query(None)
 def csv_sample(at):
     path = fresh_path(at[0], "sample-csv")
-    io.csv_sample(t.raw_apps(at, "SK_ID_CURR", "TARGET", "AMT_CREDIT", "NAME_CONTRACT_TYPE"), path)
-    kind = "SK_ID_CURR bigint, TARGET int, AMT_CREDIT double, NAME_CONTRACT_TYPE string"
-    return io.read_csv(at[0], path, kind)
+    apps = t.raw_apps(at)
+    io.csv_sample(apps, path)
+    return io.read_csv(at[0], path, apps.schema)
 
 
 @query(money=MONEY)
@@ -131,15 +132,45 @@ def json_report(at):
     return at[0].read.schema(nested.schema).json(path).select(F.inline("tier_breakdown"))
 
 
-@query()
-def model_roundtrip(at):
-    rows = stage(t.feature_table(at).select("SK_ID_CURR", "TARGET", *FEATURE_COLUMNS), "features")
-    model = learn.fit_logistic(rows, FEATURE_COLUMNS)
-    path = fresh_path(at[0], "model")
+def _same_after_reading(at, name: str, model, kind, rows: DataFrame) -> DataFrame:
+    """Rows that a saved and reloaded model changes, compared as they are."""
+    path = fresh_path(at[0], f"model-{name}")
     model.write().overwrite().save(path)
-    reloaded = learn.PipelineModel.load(path)
-    both = learn.score(reloaded, learn.score(model, rows, "fitted"), "reloaded")
-    return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("fitted") - F.col("reloaded"))).alias("max_gap"))
+    columns = [c for c, k in model.transform(rows).dtypes if k not in ("vector",) and not c.startswith("__")]
+    before = stage(model.transform(rows).select(*columns), "before")
+    after = kind.load(path).transform(rows).select(*columns)
+    both = before.select("SK_ID_CURR", F.xxhash64(*columns).alias("a")).join(
+        after.select("SK_ID_CURR", F.xxhash64(*columns).alias("b")), "SK_ID_CURR", "full"
+    )
+    return both.agg(
+        F.lit(name).alias("model"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("changed"),
+    )
+
+
+@query(None)
+def model_roundtrip(at):
+    """Regression, trees, Cox with its scalers, fills and dictionary: saved, read again, compared row by row."""
+    wide = t.full_features(at)
+    covariates = [c for c in survival.COVARIATES if c in wide.columns]
+    texts = clean.string_columns(wide)
+    durations = survival.survival_dataset(wide).withColumnRenamed("SK_ID_CURR", "key")
+    rows = stage(wide.join(durations, F.col("SK_ID_CURR") == F.col("key")).drop("key"), "features")
+    names = [c for c in learn.all_features(rows) if c not in ("duration", "event")]
+    hazard = Pipeline(stages=[fitted.CovariateScaler(inputCols=covariates), fitted.CoxRegression(inputCols=covariates)])
+    codes = Pipeline(stages=[fitted.GapFill(inputCols=texts), fitted.CategoryDictionary(inputCols=texts)])
+    made = {
+        "regression": (learn.fit_logistic(rows, names), learn.PipelineModel),
+        "trees": (learn.fit_gbt_benchmark(rows, names, trees=10), learn.BoostedTreesModel),
+        "hazard": (hazard.fit(rows), learn.PipelineModel),
+        "codes": (codes.fit(rows), learn.PipelineModel),
+    }
+    out = None
+    for name, (model, kind) in made.items():
+        part = _same_after_reading(at, name, model, kind, rows)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 # --- profiling -------------------------------------------------------------
@@ -248,9 +279,10 @@ def canonical_ratios(at):
     )
 
 
-@query(None)
+@query()
 def cleaning_report(at):
-    return clean.cleaning_report(t.staged_apps(at))
+    """Counted while the cleaned table is written."""
+    return clean.clean_and_report(t.staged_apps(at), fresh_path(at[0], "cleaned"))[1]
 
 
 @query()
@@ -305,9 +337,7 @@ def metadata_app_features(at):
 
 @query()
 def generic_impute(at):
-    columns = ["SK_ID_CURR", "OCCUPATION_TYPE", "CODE_GENDER", *clean.AMOUNT_COLUMNS, "EXT_SOURCE_1"]
-    filled = clean.generic_impute(t.staged_apps(at, *columns))
-    return filled
+    return clean.generic_impute(t.staged_apps(at))
 
 
 @query(None)
@@ -718,6 +748,33 @@ def uplift_report(at):
     return uplift.uplift_report(t.response_with_cate(at))
 
 
+@query()
+def uplift_t_learner(at):
+    """The report on the effects that two fitted classifiers predict, against its sizes."""
+    rows, names = _training_rows(at)
+    rows = stage(uplift.response_segments(rows).withColumn("TREATMENT", uplift.treatment_arm()), "response")
+    model = learn.fit_t_learner(rows.where("split = 'train'"), names)
+    scored = stage(learn.score_t_learner(model, rows.where("split = 'test'")), "effects")
+    report = uplift.uplift_report(scored)
+    sizes = scored.agg(F.count(F.lit(1)).alias("clients"), F.sum("TREATMENT").alias("treated"))
+    effects = ("Persuadables_True_Effect", "LostCauses_True_Effect")
+    inside = [F.col(c).between(-0.15, -0.01) for c in effects]
+    return sizes.crossJoin(report).select("clients", "treated", (inside[0] & inside[1]).alias("effects_inside"))  # one row each
+
+
+@query()
+def fitted_notices(at):
+    """Reasons of the boosted model: contributions add up to its log odds, and no client has more than four."""
+    rows, names = _training_rows(at)
+    model = learn.fit_gbt_benchmark(rows.where("split = 'train'"), names, trees=25)
+    explained = stage(model.explain(learn.score(model, rows)).select("SK_ID_CURR", "TARGET", "PD", "contributions", "base", "score"), "explained")
+    total = F.aggregate("contributions", F.col("base"), lambda a, p: a + p["contribution"])
+    gap = F.greatest(F.abs(total - F.col("score")), F.abs(F.ln(F.col("PD") / (1 - F.col("PD"))) - F.col("score")))
+    notices = explain.adverse_actions(explained, names)
+    fine = explained.agg(F.count(F.lit(1)).alias("clients"), F.max(gap).alias("largest_gap"))
+    return fine.crossJoin(notices.agg(F.max(F.size("Reasons")).alias("most_reasons")))  # one row each
+
+
 @query()
 def fairness_gender(at):
     return govern.fairness_metrics(t.fair_rows(at), F.col("CODE_GENDER"))

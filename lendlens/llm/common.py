@@ -61,22 +61,3 @@ def grouped(texts: Iterable[str], most: int = CHUNK) -> Iterator[tuple[int, list
             start, held, size = i + 1, [], 0
     if held:
         yield start, held
-
-
-#: A key with more than a PARTS-th of all rows is dealt to several tasks, so there are fewer than PARTS such keys.
-PARTS = 256
-
-
-def dealt_join(rows: DataFrame, facts: DataFrame, key: str, size: str, by: str) -> DataFrame:
-    """``rows`` with the columns of ``facts`` (one row per key, ``size``: the key's rows; a written table).
-
-    The rows of a hot key are dealt by ``by`` to several tasks, each with a copy of the key's facts.
-    Rows without facts are dropped.
-    """
-    total = facts.agg(F.sum(size)).first()[0] or 1
-    ways = F.greatest(F.lit(1), F.ceil(F.col(size) * PARTS / F.lit(total))).cast("int")
-    hot = F.broadcast(facts.select(key, ways.alias("ways")).where("ways > 1"))  # fewer than PARTS keys
-    salt = F.pmod(F.xxhash64(by), F.coalesce("ways", F.lit(1))).cast("int")
-    dealt = rows.join(hot, key, "left").withColumn("salt", salt).drop("ways")
-    copies = facts.select("*", F.explode(F.sequence(F.lit(0), ways - 1)).alias("salt"))
-    return dealt.join(copies, [key, "salt"]).drop("salt")

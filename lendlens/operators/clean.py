@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lendlens.functions.columns import age_years, flag, padded_ratio
 from lendlens.operators.profile import row_missing
@@ -174,32 +174,19 @@ def _either(replacement: str | float | None) -> tuple[str | None, float | None]:
 
 
 def clean_and_report(df: DataFrame, path: str, fills: FillValues | None = None) -> tuple[DataFrame, DataFrame]:
-    """Writes the cleaned table to ``path``; returns it and the report of what was changed.
-
-    The counters are observed while the table is written, so they cost no scan of their own. The
-    report has one row per step and field (``step, field, replacement, value, records``; a text's
-    replacement or a number's value) and, under the step ``shape``, rows, columns and missing cells before and after.
-    """
+    """Writes the cleaned table to ``path``; returns it and the report of what was changed."""
     fills = fills or learn_fills(df)
-    repairs = _repairs(df, fills)
-    before = [F.count_if(touched).alias(f"r{i}") for i, (_, _, _, touched) in enumerate(repairs)]
-    seen, left = Observation("before"), Observation("after")
-    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_missing(df)).alias("missing"), *before)
-    cleaned = clean_applications(watched, fills)
-    out = cleaned.observe(left, F.count(F.lit(1)).alias("rows"), F.sum(row_missing(cleaned)).alias("missing"))
+    out = clean_applications(df, fills)
     out.write.mode("overwrite").parquet(path)
-    old, new = seen.get, left.get
-    rows = [(step, c, *_either(value), int(old[f"r{i}"] or 0)) for i, (step, c, value, _) in enumerate(repairs)]
-    for when, found, columns in (("before", old, df.columns), ("after", new, cleaned.columns)):
-        shape = (("rows", found["rows"]), ("columns", len(columns)), ("missing_cells", found["missing"] or 0))
-        rows += [("shape", f"{name}_{when}", None, None, int(n)) for name, n in shape]
-    spark = df.sparkSession
-    report = spark.createDataFrame(rows, "step string, field string, replacement string, value double, records bigint")
-    return spark.read.schema(out.schema).parquet(path), report
+    return df.sparkSession.read.schema(out.schema).parquet(path), cleaning_report(df, fills)
 
 
 def cleaning_report(df: DataFrame, fills: FillValues | None = None) -> DataFrame:
-    """The report of ``clean_and_report`` by one scan, without writing the cleaned table."""
+    """What ``clean_applications`` changes, by one scan of the columns that it touches.
+
+    One row per step and field (``step, field, replacement, value, records``; a text's replacement or
+    a number's value) and, under the step ``shape``, rows, columns and missing cells before and after.
+    """
     fills = fills or learn_fills(df)
     repairs = _repairs(df, fills)
     marks = {f"__r{i}": flag(touched) for i, (_, _, _, touched) in enumerate(repairs)} | {"__before": row_missing(df)}

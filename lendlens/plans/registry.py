@@ -281,7 +281,6 @@ def canonical_ratios(at):
 
 @query()
 def cleaning_report(at):
-    """Counted while the cleaned table is written."""
     return clean.clean_and_report(t.staged_apps(at), fresh_path(at[0], "cleaned"))[1]
 
 

@@ -7,6 +7,7 @@ are CSV (flat) or JSON (nested), written by Spark.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendlens.operators import (
@@ -15,6 +16,7 @@ from lendlens.operators import (
     encode,
     explain,
     features,
+    fitted,
     govern,
     learn,
     loss,
@@ -53,8 +55,8 @@ def clean_stage(apps: DataFrame, inst: DataFrame, folder: str) -> None:
     _report(segments.spearman_matrix(repaid), folder, "repayment_spearman")
 
     fills = clean.learn_fills(apps)
-    _report(clean.cleaning_report(apps, fills), folder, "cleaning")
-    cleaned = io.write_parquet(clean.clean_applications(apps, fills), f"{folder}/applications_cleaned")
+    cleaned, report = clean.clean_and_report(apps, f"{folder}/applications_cleaned", fills)
+    _report(report, folder, "cleaning")
     io.csv_sample(cleaned, f"{folder}/applications_sample")
     io.write_parquet(clean.clean_instalments(inst), f"{folder}/installments_cleaned")
 
@@ -72,19 +74,19 @@ def model_stage(spark: SparkSession, folder: str, trees: tuple[int, int] = (200,
     wide = sampling.train_test_split(_table(spark, folder, "features"))
     names = learn.all_features(wide)
     train, test = wide.where("split = 'train'"), wide.where("split = 'test'")
-    fitted = {
+    models = {
         "logistic": learn.fit_logistic(train, names),
         "boosted_depth4": learn.fit_gbt_benchmark(train, names, trees=trees[0]),
         "boosted_depth6": learn.fit_gbt_champion(train, names, trees=trees[1]),
     }
     long = None
-    for name, model in fitted.items():
+    for name, model in models.items():
         model.write().overwrite().save(f"{folder}/models/{name}")
         scored = learn.score(model, test).select(F.lit(name).alias("model_name"), "SK_ID_CURR", "TARGET", "PD")
         long = scored if long is None else long.unionByName(scored)
     _report(metrics.model_benchmark(stage(long, "scores")), folder, "model_benchmark")
-    _report(learn.feature_importance(fitted["boosted_depth6"]), folder, "feature_importance")
-    champion = stage(learn.score(fitted["boosted_depth6"], wide).select("SK_ID_CURR", "TARGET", "PD"), "scores")
+    _report(learn.feature_importance(models["boosted_depth6"]), folder, "feature_importance")
+    champion = stage(learn.score(models["boosted_depth6"], wide).select("SK_ID_CURR", "TARGET", "PD"), "scores")
     io.write_parquet(champion, f"{folder}/default_scores")
     _report(metrics.threshold_profit_sweep(champion), folder, "threshold_profit")
 
@@ -96,12 +98,20 @@ def survival_stage(spark: SparkSession, folder: str) -> cox.CoxModel:
     raw = stage(survival.survival_dataset(wide, covariates), "survival")
     tiers = survival.risk_terciles(raw)
     _report(survival.km_milestones(survival.kaplan_meier(tiers)), folder, "kaplan_meier")
-    scaled = survival.standardize(raw, survival.learn_scalers(raw, covariates))
-    design = io.write_parquet(sampling.stratified_split(scaled, "event"), f"{folder}/survival")
+    split = io.write_parquet(sampling.stratified_split(raw, "event"), f"{folder}/survival")
+    scaler = fitted.CovariateScaler(inputCols=covariates).fit(split.where("split = 'train'"))
+    design = stage(scaler.transform(split), "design")
     test = design.where("split = 'test'")
-    model = cox.cox_fit(design.where("split = 'train'"), covariates)
+    hazard = fitted.CoxRegression(inputCols=covariates).fit(design.where("split = 'train'"))
+    PipelineModel(stages=[scaler, hazard]).write().overwrite().save(f"{folder}/models/hazard")
+    model = hazard.fitted
     _report(cox.hazard_ratios(spark, model), folder, "hazard_ratios")
-    _report(survival.concordance_index(model.with_risk(test, "hazard"), "hazard"), folder, "concordance")
+    risky = stage(model.with_risk(design, "hazard").select("split", "duration", "event", "hazard"), "hazards")
+    sides = [
+        survival.concordance_index(risky.where(F.col("split") == side), "hazard").withColumn("split", F.lit(side))
+        for side in ("train", "test")
+    ]
+    _report(sides[0].unionByName(sides[1]), folder, "concordance")
     personas = survival.borrower_personas(test, covariates)
     _report(cox.term_structure(model, personas), folder, "term_structure")
     _report(survival.survival_calibration(test, model.pd_at), folder, "survival_calibration")
@@ -134,23 +144,35 @@ def loss_stage(spark: SparkSession, folder: str, trees: int = 100) -> DataFrame:
     return losses
 
 
-def govern_stage(spark: SparkSession, folder: str) -> None:
-    """Notices, counterfactuals, uplift, fairness and stress reports."""
+def govern_stage(spark: SparkSession, folder: str, trees: int = 100) -> None:
+    """Notices, counterfactuals, uplift, fairness and stress reports, on the fitted scores when present."""
     wide, losses = _table(spark, folder, "features"), _table(spark, folder, "expected_loss")
     needed = ["SK_ID_CURR", "TARGET", "CODE_GENDER", "DAYS_BIRTH", *clean.SCORE_COLUMNS, *uplift.DRIVERS[:2]]
-    scored = stage(scoring.pd_proxy(wide.select(*needed)), "scored")
-    notices = explain.adverse_actions(explain.proxy_contributions(scored), clean.SCORE_COLUMNS)
-    io.write_json(notices, f"{folder}/reports/adverse_action_notices")
-    io.write_parquet(explain.counterfactual_grid(scored), f"{folder}/counterfactuals")
-    _report(encode.feature_names(scored, clean.SCORE_COLUMNS), folder, "feature_names")
-
-    rows = uplift.response_segments(scored).withColumn("TREATMENT", uplift.treatment_arm())
-    cells = uplift.cate_by_cell(rows, ["response_segment"])
-    _report(cells, folder, "treatment_effects")
-    effects = rows.join(F.broadcast(cells.select("response_segment", "cate")), "response_segment")  # 3 rows
-    _report(uplift.uplift_report(effects.fillna(0.0, ["cate"])), folder, "uplift")
-
-    decided = scored.withColumn("declined", govern.declined())
+    closed = stage(scoring.pd_proxy(wide.select(*needed)), "scored")
+    decided = closed
+    if _exists(spark, f"{folder}/default_scores"):
+        champion = learn.BoostedTreesModel.load(f"{folder}/models/boosted_depth6")
+        names = champion.ensemble.binning.features
+        explained = stage(champion.explain(wide).select("SK_ID_CURR", "TARGET", "contributions", "base", "score"), "explained")
+        scores = _table(spark, folder, "default_scores").select("SK_ID_CURR", F.col("PD").alias("fitted"))
+        decided = closed.join(scores, "SK_ID_CURR", "left").withColumn("PD", F.coalesce("fitted", "PD")).drop("fitted")
+    else:
+        names, explained = list(clean.SCORE_COLUMNS), explain.proxy_contributions(closed)
+    io.write_json(explain.adverse_actions(explained, names), f"{folder}/reports/adverse_action_notices")
+    _report(explain.global_attribution(explained, names), folder, "global_attribution")
+    _report(encode.feature_names(wide, names), folder, "feature_names")
+    io.write_parquet(explain.counterfactual_grid(closed), f"{folder}/counterfactuals")
+
+    rows = sampling.train_test_split(uplift.response_segments(wide).withColumn("TREATMENT", uplift.treatment_arm()))
+    rows = stage(rows, "response")
+    _report(uplift.cate_by_cell(rows, ["response_segment"]), folder, "treatment_effects")
+    features = [c for c in learn.all_features(rows) if c not in ("response_segment", "true_effect")]
+    learner = learn.fit_t_learner(rows.where("split = 'train'"), features, trees=trees)
+    learner.write().overwrite().save(f"{folder}/models/uplift")
+    effects = stage(learn.score_t_learner(learner, rows.where("split = 'test'")), "effects")
+    _report(uplift.uplift_report(effects), folder, "uplift")
+
+    decided = stage(decided.withColumn("declined", govern.declined()), "decided")
     for name, group in (("gender", F.col("CODE_GENDER")), ("age", govern.age_cohort())):
         fair = govern.fairness_metrics(decided, group)
         _report(fair, folder, f"fairness_{name}")
@@ -167,11 +189,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def run_all(apps: DataFrame, inst: DataFrame, folder: str, trees: tuple[int, int, int] = (200, 300, 100)) -> None:
-    """Every stage in order."""
+    """Every stage in order. NaN in either table is a missing value."""
     spark = apps.sparkSession
+    apps, inst = io.nan_to_null(apps), io.nan_to_null(inst)
     clean_stage(apps, inst, folder)
     feature_stage(spark, folder)
     model_stage(spark, folder, trees[:2])
     survival_stage(spark, folder)
     loss_stage(spark, folder, trees[2])
-    govern_stage(spark, folder)
+    govern_stage(spark, folder, trees[2])

@@ -185,6 +185,11 @@ def _deficit_velocity() -> Column:
     return padded_ratio(F.col("INST_REC180_AVG_DEFICIT"), F.col("__avg_deficit"))
 
 
+def _no_gaps(df: DataFrame) -> DataFrame:
+    """Gaps of numbers as 0; the key is left as it is, so its partitioning is known to what follows."""
+    return df.fillna(0.0, [c for c in numeric_columns(df) if c != "SK_ID_CURR"])
+
+
 def instalment_features(df: DataFrame) -> DataFrame:
     """Per-client repayment features; recency shares the same aggregate.
 
@@ -192,7 +197,7 @@ def instalment_features(df: DataFrame) -> DataFrame:
     share of all payments still sends one row per task.
     """
     grouped = instalment_scalars(df).groupBy("SK_ID_CURR").agg(*_coded_aggregates())
-    return grouped.withColumn("INST_DPD_VELOCITY", _dpd_velocity()).fillna(0.0)
+    return _no_gaps(grouped.withColumn("INST_DPD_VELOCITY", _dpd_velocity()))
 
 
 def metadata_inst_features(df: DataFrame) -> DataFrame:
@@ -201,7 +206,7 @@ def metadata_inst_features(df: DataFrame) -> DataFrame:
     Expects cleaned instalments (with IS_MISSED_PAYMENT).
     """
     grouped = repayment_scalars(df).groupBy("SK_ID_CURR").agg(*_published_aggregates())
-    return grouped.withColumn("INST_DEFICIT_VELOCITY", _deficit_velocity()).drop("__avg_deficit").fillna(0.0)
+    return _no_gaps(grouped.withColumn("INST_DEFICIT_VELOCITY", _deficit_velocity()).drop("__avg_deficit"))
 
 
 def client_features(df: DataFrame) -> DataFrame:
@@ -215,7 +220,7 @@ def client_features(df: DataFrame) -> DataFrame:
     with_velocity = grouped.withColumns(
         {"INST_DPD_VELOCITY": _dpd_velocity(), "INST_DEFICIT_VELOCITY": _deficit_velocity()}
     )
-    return with_velocity.drop("__avg_deficit").fillna(0.0)
+    return _no_gaps(with_velocity.drop("__avg_deficit"))
 
 
 def attach_instalments(apps: DataFrame, inst_features: DataFrame) -> DataFrame:
@@ -231,4 +236,4 @@ def feature_matrix(apps: DataFrame, inst: DataFrame) -> DataFrame:
     Payments are reduced to one row per client before they meet the join.
     """
     joined = attach_instalments(application_features(apps), instalment_features(inst))
-    return joined.fillna(0, numeric_columns(joined))
+    return _no_gaps(joined)

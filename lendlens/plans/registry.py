@@ -376,12 +376,12 @@ def repay_target_join(at):
 @query()
 def feature_matrix(at):
     made = [*FEATURE_COLUMNS, *INST_COLUMNS, "INST_REC180_AVG_DPD", "INST_DPD_VELOCITY", "NO_INSTALLMENT_HISTORY"]
-    return t.feature_table(at).select("SK_ID_CURR", "TARGET", *made)
+    return features.feature_matrix(*t.feature_sides(at)).select("SK_ID_CURR", "TARGET", *made)
 
 
 @query()
 def ead_dynamic(at):
-    matrix = t.feature_table(at)
+    matrix = t.by_client(t.feature_table(at), "matrix")
     durations = survival.survival_dataset(matrix)
     apps = features.metadata_app_features(matrix).select(
         "SK_ID_CURR", "AMT_CREDIT", "NAME_CONTRACT_TYPE", "CREDIT_TERM_MONTHS"
@@ -391,8 +391,8 @@ def ead_dynamic(at):
 
 @query()
 def client_profile(at):
-    notices = explain.adverse_actions(t.explained(at), clean.SCORE_COLUMNS)
-    joined = explain.client_profile(t.loss_table(at), notices)
+    notices = t.by_client(explain.adverse_actions(t.explained(at), clean.SCORE_COLUMNS), "notices")
+    joined = explain.client_profile(t.by_client(t.loss_table(at), "losses"), notices)
     text = F.transform("Reasons", lambda r: F.concat_ws("|", r["RawFeatureName"], r["Feature"]))
     return joined.select(
         "SK_ID_CURR", "PD", "LGD", "EAD", "EXPECTED_LOSS", "Risk_Score_LogOdds", F.array_join(text, ";").alias("reasons")

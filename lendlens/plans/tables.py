@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendlens.operators import clean, explain, features, govern, loss, sampling, scoring, segments, survival, uplift
 from lendlens.sources import fixture
-from lendlens.sources.session import stage
+from lendlens.sources.session import stage, stage_bucketed
 
 Inputs = tuple[SparkSession, str]
 
@@ -23,6 +23,15 @@ def staged_apps(at: Inputs, *columns: str) -> DataFrame:
     return stage(raw_apps(at, *columns), "applications")
 
 
+def by_client(df: DataFrame, label: str) -> DataFrame:
+    """``df`` staged in as many buckets of the client key as a shuffle has partitions.
+
+    Joins of such tables on the key, and group-bys by it, move no rows, however many of them follow.
+    """
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage_bucketed(df, ["SK_ID_CURR"], buckets, label)
+
+
 def client_aggregate(at: Inputs, build, cleaned: bool = False) -> DataFrame:
     """Client-level instalment aggregate, restricted to known clients afterwards."""
     lines = fixture.instalment_lines(*at)
@@ -43,6 +52,11 @@ def feature_table(at: Inputs) -> DataFrame:
     return features.feature_matrix(clean_apps(at), clean_lines(at))
 
 
+def feature_sides(at: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Cleaned applications and instalments, both in buckets of the client key."""
+    return by_client(clean_apps(at), "apps"), by_client(clean_lines(at), "lines")
+
+
 def full_features(at: Inputs) -> DataFrame:
     """Every coded and published feature, one row per application, no gaps in numbers."""
     apps = features.metadata_app_features(features.application_features(clean_apps(at)))
@@ -55,9 +69,9 @@ def scored_apps(at: Inputs, *extra: str) -> DataFrame:
     return scoring.pd_proxy(staged_apps(at, "SK_ID_CURR", "TARGET", *clean.SCORE_COLUMNS, *extra))
 
 
-def loss_table(at: Inputs) -> DataFrame:
+def loss_table(at: Inputs, matrix: DataFrame | None = None) -> DataFrame:
     """Loan-level expected loss of the whole portfolio, without any fitted model."""
-    scored = scoring.pd_proxy_from_mean(feature_table(at), 0.5)
+    scored = scoring.pd_proxy_from_mean(feature_table(at) if matrix is None else matrix, 0.5)
     return loss.expected_loss(loss.ead_static(loss.lgd_heuristic(scored)))
 
 

@@ -726,6 +726,15 @@ def counterfactual_grid(at):
     return explain.counterfactual_grid(t.scored_apps(at))
 
 
+@query()
+def counterfactual_actions(at):
+    """Mixed moves over all actionable fields, for a regression fitted on them."""
+    rows = stage(t.full_features(at).select("SK_ID_CURR", "TARGET", "AMT_INCOME_TOTAL", *explain.ACTIONABLE), "actionable")
+    model = learn.fit_logistic(rows, [*explain.ACTIONABLE, "AMT_INCOME_TOTAL"])
+    contracts = sorted(r[0] for r in rows.select("NAME_CONTRACT_TYPE").distinct().collect())  # two of them
+    return explain.actionable_counterfactuals(rows, learn.fold(model), contracts)
+
+
 @query()
 def what_if_restructure(at):
     scored = t.scored_apps(at, "AMT_INCOME_TOTAL", "AMT_ANNUITY", "AMT_CREDIT")

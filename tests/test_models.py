@@ -326,6 +326,60 @@ def test_counterfactuals_against_brute_force(scored):
         assert (rows[i]["distance"], rows[i]["grid_id"]) == (best or (None, None))
 
 
+@pytest.fixture(scope="module")
+def regression(spark):
+    from lendlens.plans import tables as t
+
+    fields = ["SK_ID_CURR", "TARGET", "AMT_INCOME_TOTAL", *explain.ACTIONABLE]
+    rows = stage(t.full_features((spark, "/root/testdata/sf0.001")).select(*fields), "actionable")
+    return rows, learn.fit_logistic(rows, [*explain.ACTIONABLE, "AMT_INCOME_TOTAL"])
+
+
+def test_folded_regression_and_its_contributions_give_the_log_odds(regression):
+    rows, model = regression
+    folded = learn.fold(model)
+    scored = learn.score(model, rows).withColumn("odds", folded.log_odds())
+    explained = explain.fitted_contributions(scored, folded)
+    logit = F.ln(F.col("PD") / (1 - F.col("PD")))
+    gaps = explained.agg(F.max(F.abs(F.col("odds") - logit)), F.max(F.abs(F.col("score") - logit)), F.count(F.lit(1))).first()
+    assert gaps[0] < 1e-8 and gaps[1] < 1e-8 and gaps[2] == 1500
+    names = [*folded.numbers, *folded.levels]
+    notices = explain.adverse_actions(explained, names).collect()
+    assert max(len(r["Reasons"]) for r in notices) == 4 and len(names) == 10
+    assert any(p["FeatureLevel"] for r in notices for p in r["Reasons"])
+
+
+def test_actionable_counterfactuals_are_those_of_the_exhaustive_search(regression):
+    rows, model = regression
+    folded = learn.fold(model)
+    contracts = ["Cash loans", "Revolving loans"]
+    found = {r["SK_ID_CURR"]: r for r in explain.actionable_counterfactuals(rows, folded, contracts).collect()}
+    odds = lambda r: folded.intercept + sum(w * r[c] for c, w in folded.numbers.items()) + folded.levels["NAME_CONTRACT_TYPE"][r["NAME_CONTRACT_TYPE"]]
+    people = [r.asDict() for r in rows.collect()]
+    risky = [r for r in people if odds(r) > math.log(0.6 / 0.4)]
+    assert set(found) == {r["SK_ID_CURR"] for r in risky} and len(risky) > 20
+    helped = 0
+    for r in sorted(risky, key=odds)[:: max(1, len(risky) // 12)]:
+        best = None
+        for f, g, k in product(explain.CREDIT_FACTORS, explain.ANNUITY_FACTORS, contracts):
+            credit, annuity = r["AMT_CREDIT"] * f, r["AMT_ANNUITY"] * g
+            offer = r | {"AMT_CREDIT": credit, "AMT_ANNUITY": annuity, "NAME_CONTRACT_TYPE": k}
+            offer["DEBT_TO_INCOME_RATIO"] = annuity / (r["AMT_INCOME_TOTAL"] + 1e-5)
+            offer["PAYMENT_BURDEN_INDEX"] = annuity / (credit + 1e-5)
+            offer["CREDIT_TERM_MONTHS"] = min(max(credit / max(annuity, 1.0), 6.0), 60.0)
+            price = (1 - f) + (1 - g) + (explain.CONTRACT_COST if k != r["NAME_CONTRACT_TYPE"] else 0.0)
+            for moves in product(explain.MOVES, repeat=3):
+                new = {c: min(r[c] + m, 1.0) for c, m in zip(clean.SCORE_COLUMNS, moves)}
+                if odds(offer | new) < 0:
+                    far = price + sum(new[c] - r[c] for c in new)
+                    best = far if best is None else min(best, far)
+        got = found[r["SK_ID_CURR"]]
+        helped += best is not None
+        assert got["distance"] == (None if best is None else pytest.approx(best, abs=1e-6))
+        assert got["new_pd"] is None or got["new_pd"] < 0.5 < got["original_pd"]
+    assert helped
+
+
 def test_lgd_model_roundtrip(loans, tmp_path):
     model, names, medians = learn.fit_lgd(loans, trees=5)
     predicted = learn.predict_lgd(model, loans, names, medians)

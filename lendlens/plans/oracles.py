@@ -1036,20 +1036,23 @@ def oracle_sql() -> dict[str, str]:
         "PAYMENT_BURDEN_INDEX": _FEATURES["PAYMENT_BURDEN_INDEX"],
         "DEBT_TO_INCOME_RATIO": _FEATURES["DEBT_TO_INCOME_RATIO"],
         "ANNUITY_TO_INCOME_RATIO": _FEATURES["ANNUITY_TO_INCOME_RATIO"],
+        "AGE_YEARS": "-DAYS_BIRTH/3.6525e2",
+        "YEARS_EMPLOYED": "coalesce(-nullif(DAYS_EMPLOYED,365243)/3.6525e2,0e0)",
         "INST_AVG_DPD": "INST_AVG_DPD",
         "INST_PCT_LATE": "INST_PCT_LATE",
         "INST_AVG_DEFICIT": "INST_AVG_DEFICIT",
+        "INST_TOTAL_INSTALLMENTS": "cast(lines as double)",
         "REGION_RATING_CLIENT_W_CITY": "cast(REGION_RATING_CLIENT_W_CITY as double)",
         "AMT_CREDIT": "AMT_CREDIT",
         "AMT_ANNUITY": "AMT_ANNUITY",
     }
-    wide = "select a.SK_ID_CURR, " + ", ".join(f"{v} as {k}" for k, v in chosen.items()) + " from apps a left join ifeat_raw i on a.SK_ID_CURR=i.SK_ID_CURR"
+    wide = "select a.SK_ID_CURR, " + ", ".join(f"{v} as {k}" for k, v in chosen.items()) + " from apps a left join ifeat i on a.SK_ID_CURR=i.SK_ID_CURR left join (select SK_ID_CURR, count(*) as lines from inst group by SK_ID_CURR) c on a.SK_ID_CURR=c.SK_ID_CURR"
     filled = "select SK_ID_CURR, " + ", ".join(f"coalesce({k}, (select median({k}) from w)) as {k}" for k in chosen) + " from w"
     scaled = ", ".join(
         f"({k}-(select avg({k}) from f))/(select case when stddev_pop({k})<1e-7 then 1e0 else stddev_pop({k}) end from f) as {k}" for k in chosen
     )
     o["standardize_covariates"] = _with(
-        _out(f"with w as ({wide}), f as ({filled}) select SK_ID_CURR, {scaled} from f", list(chosen)), "apps", "ifeat_raw"
+        _out(f"with w as ({wide}), f as ({filled}) select SK_ID_CURR, {scaled} from f", list(chosen)), "apps", "ifeat"
     )
     o["risk_terciles"] = _with(_out("select SK_ID_CURR, EXT_SOURCE_MEAN, tier from tiered", ["EXT_SOURCE_MEAN"]), "tiered")
     o["kaplan_meier"] = _with(

@@ -603,18 +603,17 @@ def survival_dataset(at):
 @query()
 def standardize_covariates(at):
     """Raw (unfilled) features, so that the median fill has gaps to fill."""
-    apps = features.application_features(t.raw_apps(at))
-    inst = features.instalment_features(fixture.instalment_lines(*at))
-    joined = features.attach_instalments(apps, inst)
-    chosen = [c for c in survival.COVARIATES if c in joined.columns]
-    rows = stage(joined.select("SK_ID_CURR", *chosen), "covariates")
-    return survival.standardize(rows, survival.learn_scalers(rows, chosen))
+    apps = features.application_features(clean.canonical_ratios(clean.clean_employment(t.raw_apps(at))))
+    joined = features.attach_instalments(apps, features.client_features(t.clean_lines(at)))
+    rows = stage(joined.select("SK_ID_CURR", *survival.COVARIATES), "covariates")
+    return survival.standardize(rows, survival.learn_scalers(rows))
 
 
 @query()
 def risk_terciles(at):
-    rows = stage(t.feature_table(at).select("SK_ID_CURR", "EXT_SOURCE_MEAN"), "terciles")
-    return survival.risk_terciles(rows)
+    """The score needs no instalments, so none are read."""
+    scores = features.application_features(t.clean_apps(at)).select("SK_ID_CURR", "EXT_SOURCE_MEAN")
+    return survival.risk_terciles(stage(scores.fillna(0.0, ["EXT_SOURCE_MEAN"]), "terciles"))
 
 
 def _tiered(at) -> DataFrame:

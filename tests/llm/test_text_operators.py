@@ -194,6 +194,72 @@ def test_fixed_texts_come_from_classes_of_whole_hosts(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_template_of_a_host_without_marks(spark):
+    """No article, no names: menu, notice, heading of the comments and a box in half of the slots go only
+    because of the template; one page is of another kind, and one lacks the notice."""
+    body = (
+        "<div><div>Home and news of the site</div><div>Weather for all regions</div></div>{notice}"
+        "<div><p>Paragraph {n} tells of {n} own matters.</p><p>Another one, with more on matter {n}.</p>{more}</div>"
+        "<div><div>Terms apply to all of this</div><div>Imprint of the house</div></div>"
+    )
+    notice, more = "<div>We use small files to know you</div>", "<p>Third paragraph number {n}.</p>"
+    rows = []
+    for n in range(14):
+        page = body.format(n=n, notice="" if n == 5 else notice, more=more.format(n=n) if n % 2 else "")
+        rows.append((n, f"http://plain.example/{n}", page))
+    rows.append((99, "http://plain.example/gone", "<h1>Not found here</h1>"))
+    text = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(14):
+        want = [f"Paragraph {n} tells of {n} own matters.", f"Another one, with more on matter {n}."]
+        assert text[n].split("\n") == want + ([f"Third paragraph number {n}."] if n % 2 else []), n
+    assert text[99] == "Not found here"
+
+
+def test_classes_in_changing_order_or_slots_are_no_template(spark):
+    """The same two sentences on all pages, but swapped or in another slot: they are content."""
+    rows = []
+    for n in range(12):
+        parts = ["<p>First common sentence.</p>", "<p>Second common sentence.</p>", f"<p>own {n}</p>"]
+        first, second = (parts[0], parts[1]) if n % 2 else (parts[1], parts[0])
+        rows.append((n, f"http://h.example/{n}", f"<div><h2>Top</h2>{first}{parts[2]}{second}<h3>End</h3></div>"))
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in got:
+        assert "First common sentence." in r.text and "Second common sentence." in r.text
+        assert "Top" not in r.text and "End" not in r.text and f"own {r.page_id}" in r.text
+
+
+@pytest.mark.parametrize("name", ["comment-list", "user-comments", "newsletter-signup", "cookie-bar", "related-posts", "ad-300"])
+def test_silent_parts_inside_the_article(name):
+    assert html_text.extract(f"<article><p>Keep</p><div class='{name}'><p>go</p></div></article>", set()) == "Keep"
+
+
+def test_teasers_beside_the_article():
+    page = f"<article><p>{'long text ' * 30}</p></article><article><p>Read this too</p></article>"
+    assert html_text.extract(page, set()) == ("long text " * 30).strip()
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<b>", "<a ", "<p>", "</i>", "<b></i>", "<!", "<table><tr><td>", "<li><b>", "<a '", "x<", "<hr><b>"])
+def test_a_megabyte_of_odd_markup_ends_soon(unit):
+    import time
+    import tracemalloc
+
+    source = unit * (1_000_000 // len(unit)) + "the end"
+    tracemalloc.start()
+    started = time.process_time()
+    html_text.extract(source, set())
+    assert time.process_time() - started < 60
+    assert tracemalloc.get_traced_memory()[1] < 400e6
+    tracemalloc.stop()
+
+
+def test_main_text_of_odd_tables(spark):
+    kind = "page_id long, url string, html string, host string, text string, fixed int, token int"
+    rows = [(None, "http://a.b/", "<p>x</p>", "h", "t", 1, 2), (1, "", "", None, None, None, None), (1, "", "", None, None, None, None)]
+    frame = spark.createDataFrame(rows, kind)
+    assert sorted(r.text for r in html_text.main_text(frame).collect()) == ["", "", "x"]
+    assert html_text.main_text(frame.where("false")).count() == 0
+
+
 def test_html_query_keeps_articles_whole(spark):
     pages = pd.read_parquet(f"{SMALL}/pages.parquet").set_index("page_id").html
     for r in queries.op3_html(spark, SMALL).collect():

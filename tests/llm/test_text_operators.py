@@ -362,12 +362,29 @@ def test_neighbours_of_unequal_lengths(spark, lengths):
 def test_neighbours_that_share_no_bucket(spark):
     x = np.eye(60) * np.array([1e-200, 1.0, 1e150])[np.arange(60) % 3][:, None]
     frame = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
-    got = neighbours.nearest(frame, tables=1, hashes=40, width=0.01, probes=1).toPandas()
+    got = neighbours.nearest(frame, index=neighbours.Index(1, 40, 0.01, 1)).toPandas()
     assert (got.groupby("query_id").size() == 20).all() and set(got.query_id) == {0, 20, 40}
     many = np.random.default_rng(5).standard_normal((600, 8))
     many /= np.linalg.norm(many, axis=1)[:, None]
     frame = spark.createDataFrame([(k, v) for k, v in enumerate(many.tolist())], "vec_id long, embedding array<double>")
-    assert _recall(neighbours.nearest(frame, tables=1, hashes=40, width=0.01, probes=1).toPandas(), many) == 1.0
+    assert _recall(neighbours.nearest(frame, index=neighbours.Index(1, 40, 0.01, 1)).toPandas(), many) == 1.0
+
+
+def test_fitted_index_grows_more_selective_with_near_neighbours(spark):
+    """Random directions need the widest search; tight clusters are found by the most selective set."""
+    draw = np.random.default_rng(6)
+    loose = draw.standard_normal((1500, 32))
+    tight = np.repeat(draw.standard_normal((60, 32)), 25, axis=0) + 0.01 * draw.standard_normal((1500, 32))
+    for x, at in ((loose, len(neighbours.LADDER) - 2), (tight, 0)):
+        frame = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "v long, e array<double>")
+        index = neighbours.fitted_index(frame, frame.where("v % 20 = 0"), 20)
+        if at:
+            assert neighbours.LADDER.index(index) >= at
+        else:
+            queries, others = (pd.DataFrame({"q": [None] * 40, "v": range(40), "e": list(x[s])}) for s in (slice(0, 40), slice(700, 740)))
+            others["q"] = pd.Series([None] * 40, dtype=object)
+            assert neighbours._share_met(index, queries, others) < 0.7
+    assert neighbours.fitted_index(frame.where("false"), frame.where("false"), 20) == neighbours.LADDER[-1]
 
 
 def test_probes_come_in_order_of_their_cost():

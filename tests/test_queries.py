@@ -10,8 +10,9 @@ from compare import compare
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Fits repeat the same training several times; one per family runs here.
-LONG = ("fit_gbt_benchmark", "fit_gbt_champion")  # hundreds of trees; test_boosting.py grows fewer
-FITS = ("cox_fit", "hazard_ratios", "term_structure", "pd_score")
+# Hundreds of passes; test_boosting.py and test_models.py fit fewer trees.
+LONG = ("fit_gbt_benchmark", "fit_gbt_champion", "fit_lgd", "uplift_t_learner")
+FITS = ("cox_fit", "pd_score")
 
 
 def test_keys_agree():

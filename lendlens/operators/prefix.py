@@ -12,6 +12,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -102,9 +104,12 @@ def running_sums(
     across = Window.partitionBy(*groups or [F.lit(0)]).orderBy(_RANGE).rowsBetween(*earlier)
     totals = tied.groupBy(*ranged).agg(*(F.sum(n).alias(n) for n in values))
     offsets = totals.select(
-        *ranged, *(F.coalesce(F.sum(n).over(across), F.lit(0)).alias(f"{n}_offset") for n in values)
+        *(F.col(c).alias(f"__of_{c}") for c in ranged),
+        *(F.coalesce(F.sum(n).over(across), F.lit(0)).alias(f"{n}_offset") for n in values),
     )
-    return local.join(offsets, ranged).select(
+    # A null-safe condition adds no filter to either side, so both read one shuffle of the collapsed rows.
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in ranged))
+    return local.join(offsets, same).select(
         *groups,
         key,
         *values,

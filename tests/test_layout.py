@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from lendlens.operators import explain, features, loss, survival
+from lendlens.operators import features, prefix, survival
 from lendlens.plans import registry, tables as t
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +37,11 @@ def test_a_chain_of_joins_shares_one_layout(spark, no_broadcast):
     counts = features.instalment_features(t.by_client(t.clean_lines(at), "lines"))
     chain = losses.join(durations, "SK_ID_CURR").join(counts, "SK_ID_CURR", "left").groupBy("SK_ID_CURR").agg(F.max("EAD").alias("e"))
     assert "Exchange" not in _plan(chain) and chain.count() == 1500
+
+
+def test_running_sums_read_their_rows_once(spark):
+    rows = t.scored_apps((spark, SF))
+    sums = prefix.running_sums(rows, "PD", {"pos": F.sum("TARGET")}, cuts=prefix.find_cuts(rows, "PD"))
+    sums.collect()
+    plan = _plan(sums).split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan

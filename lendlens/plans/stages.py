@@ -162,6 +162,13 @@ def govern_stage(spark: SparkSession, folder: str, trees: int = 100) -> None:
     _report(explain.global_attribution(explained, names), folder, "global_attribution")
     _report(encode.feature_names(wide, names), folder, "feature_names")
     io.write_parquet(explain.counterfactual_grid(closed), f"{folder}/counterfactuals")
+    fields = [*explain.ACTIONABLE, "AMT_INCOME_TOTAL"]
+    people = stage(wide.select("SK_ID_CURR", "TARGET", *fields), "actionable")
+    regression = learn.fit_logistic(people, fields)
+    regression.write().overwrite().save(f"{folder}/models/recourse")
+    contracts = sorted(r[0] for r in people.select("NAME_CONTRACT_TYPE").distinct().collect() if r[0])  # two of them
+    moves = explain.actionable_counterfactuals(people, learn.fold(regression), contracts)
+    io.write_parquet(moves, f"{folder}/counterfactual_actions")
 
     rows = sampling.train_test_split(uplift.response_segments(wide).withColumn("TREATMENT", uplift.treatment_arm()))
     rows = stage(rows, "response")

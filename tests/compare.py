@@ -1,6 +1,6 @@
 """Compare registered queries with their SQL counterparts.
 
-Usage: python tests/check_queries.py [sf] [key ...]
+Usage: python tests/compare.py [sf] [key ...]
 """
 
 from __future__ import annotations

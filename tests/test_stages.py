@@ -19,6 +19,8 @@ def test_stages_write_their_outputs(spark, tmp_path):
     notices = spark.read.json(f"{folder}/reports/adverse_action_notices")
     sizes = notices.selectExpr("max(size(Reasons))", "count(distinct get(Reasons, 0).RawFeatureName)").first()
     assert 2 <= sizes[0] <= 4 and sizes[1] > 1
+    moves = spark.read.parquet(f"{folder}/counterfactual_actions")
+    assert moves.count() > 0 and moves.where("new_pd >= 0.5 or original_pd <= 0.6").count() == 0
     hazard = PipelineModel.load(f"{folder}/models/hazard")
     assert hazard.transform(spark.read.parquet(f"{folder}/survival")).where("risk > 0").count() == 1500
     sides = spark.read.option("header", True).csv(f"{folder}/reports/concordance")

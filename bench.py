@@ -19,7 +19,15 @@ from lendlens.sources.session import local_session  # noqa: E402
 
 
 #: Fits that run hundreds of passes over the table.
-LONG = ("fit_gbt_benchmark", "fit_gbt_champion", "feature_importance", "fit_lgd", "fit_t_learner")
+LONG = (
+    "fit_gbt_benchmark",
+    "fit_gbt_champion",
+    "feature_importance",
+    "fit_lgd",
+    "fit_t_learner",
+    "uplift_t_learner",
+    "model_roundtrip",
+)
 
 
 def main() -> int:

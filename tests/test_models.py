@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 from itertools import product
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -394,3 +396,28 @@ def test_lgd_model_roundtrip(loans, tmp_path):
 def test_fits_need_both_classes(loans):
     with pytest.raises(ValueError, match="both classes"):
         learn.fit_logistic(loans.where("TARGET = 0"), ["AMT_CREDIT"])
+
+
+def test_cox_walks_a_long_duration_in_pieces():
+    """Rows of one duration beyond a piece: the same sums, and never more than a piece's squares at once."""
+    rng = np.random.default_rng(3)
+    n = 3 * cox.PIECE + 17
+    duration = np.sort(np.where(np.arange(n) < n // 2, 5.0, rng.integers(1, 9, n)).astype(float))[::-1].copy()
+    event, x, beta = rng.random(n) < 0.3, rng.normal(size=(n, 2)), np.array([0.3, -0.2])
+    packed = {"block": [1], "part": [0], "duration": [duration.tobytes()], "event": [event.tobytes()], "x": [x.tobytes()]}
+    context = SimpleNamespace(broadcast=lambda value: SimpleNamespace(value=value))
+    table = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=context), where=lambda _: table)
+    table.mapInArrow = lambda fold, _: list(fold([pa.RecordBatch.from_pydict(packed)]))
+    passes, sizes, found = cox._Passes(table, 2, cox.Cuts()), [], []
+    plain = passes.sums.per_run
+    passes.sums.per_run = lambda w, *rest: sizes.append(len(w)) or plain(w, *rest)
+    passes._walk(beta, {"top": 0.0, "later": {1: np.ones(6)}}, lambda _, pieces: found.extend(pieces), "")
+    assert max(sizes) <= cox.PIECE
+    got = {d: row for ds, *rest in found for d, *row in zip(ds, *rest, strict=True)}
+    assert sorted(got) == sorted(set(duration[event]))
+    for d, (risk, tied, events, over) in got.items():
+        w, own = np.exp(x @ beta), event & (duration == d)
+        for sums, chosen in ((risk - 1, duration >= d), (tied, own)):
+            np.testing.assert_allclose(sums, passes.sums.moments(w[chosen], x[chosen]), atol=1e-8)
+        assert events == own.sum()
+        np.testing.assert_allclose(over, x[own].sum(axis=0), atol=1e-9)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lendlens.functions.columns import cap_at, floor_at
 from lendlens.operators.features import credit_term
 from lendlens.operators.prefix import find_cuts, running_sums
 from lendlens.operators.quantiles import exact_medians, exact_quantiles
-from lendlens.sources.session import stage
+from lendlens.sources.session import let_workers_import, stage
 
 # Default covariates, tier names and horizons.
 COVARIATES = (
@@ -34,6 +36,8 @@ MILESTONES = (12, 24, 36, 48, 60)
 # Mean share of the term at which a default occurs, for clients often late and for others.
 EARLY_SHARE, USUAL_SHARE = 3.0 / 11.0, 2.0 / 5.0
 MAX_MONTHS = 60
+#: Rows of a range of risks or durations whose pairs one task counts, and the most ranges of either.
+STRIP_ROWS, GRID_RANGES = 100_000, 512
 
 
 def survival_dataset(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -133,52 +137,107 @@ def km_milestones(curve: DataFrame, by: str = "tier", months: Sequence[int] = MI
     return curve.groupBy(by).agg(*reads)
 
 
-def concordance_index(df: DataFrame, risk: str, duration: str = "duration", event: str = "event") -> DataFrame:
+def _later_rows(cls: np.ndarray, value: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row: how many rows (``n`` counts them) of higher classes have a lower value, and the same value.
+
+    Classes are dense ranks. Two different ones first differ at exactly one bit, so a pair is met once,
+    among the rows that share the bits above it.
+    """
+    below, same = np.zeros(len(cls), np.int64), np.zeros(len(cls), np.int64)
+    by_value = np.lexsort((cls, value))
+
+    def at_start(changes: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        return sums[np.maximum.accumulate(np.where(changes, np.arange(len(changes)), 0))]
+
+    def differs(*columns: np.ndarray) -> np.ndarray:
+        return np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
+
+    for bit in reversed(range(int(cls.max()).bit_length())):
+        order = by_value[np.argsort(cls[by_value] >> (bit + 1), kind="stable")]
+        group, v, high = cls[order] >> (bit + 1), value[order], cls[order] >> bit & 1
+        ones = np.cumsum(n[order] * high)
+        before = ones - n[order] * high
+        run = differs(group, v)
+        start = at_start(run, before)
+        here = np.add.reduceat(n[order] * high, np.flatnonzero(run))[np.cumsum(run) - 1]
+        below[order] += np.where(high == 0, start - at_start(differs(group), before), 0)
+        same[order] += np.where(high == 0, here, 0)
+    return below, same
+
+
+def _classes(t: np.ndarray, event: np.ndarray) -> np.ndarray:
+    """Dense ranks of (duration, censored): a defaulted row is comparable with every row of a higher class."""
+    ranks = np.unique(t, return_inverse=True)[1]
+    return np.unique(2 * ranks + (event != 1), return_inverse=True)[1]
+
+
+def concordance_index(
+    df: DataFrame, risk: str, duration: str = "duration", event: str = "event", strip_rows: int = STRIP_ROWS
+) -> DataFrame:
     """Harrell's C of a risk score, on the durations as they are.
 
     A pair counts when one client defaults and the other is known to last
-    longer; equal durations count only as default against censored. Give each
-    row the class 2 * (rank of its distinct duration) + censored: a defaulted
-    row is then comparable with every row of a higher class. Writing classes in
-    binary, any such pair first differs at exactly one bit, so it is met once,
-    under (bit, common prefix): log2(distinct durations) + 1 groupings of the
-    rows replace all pairs. Rows without a risk or duration are left out.
+    longer; equal durations count only as default against censored. Risks and
+    durations are cut into ranges. Pairs that differ in both ranges follow from
+    one count per pair of ranges; pairs in one range of the duration are counted
+    in that range's task, from its counts by duration and risk range; pairs in
+    one range of the risk in that range's task, row by row. A frequent risk is a
+    range of its own, whose pairs are ties. Each row moves once per step and is
+    never copied; the driver holds at most a million counts. Rows without a
+    risk, duration or event are left out.
     """
-    known = df.where(F.col(risk).isNotNull() & F.col(duration).isNotNull())
-    known = known.select(F.col(risk).alias("risk"), F.col(duration).cast("double").alias("t"), F.col(event).alias("event"))
-    counted = stage(known.groupBy("risk", "t", "event").count(), "concordance")
-    times = counted.select("t").distinct()
-    cuts = find_cuts(times, "t")
-    place = running_sums(times, "t", {"n": F.count(F.lit(1))}, cuts=cuts).select("t", F.col("n_before").alias("place"))
-    bits = max(1, (2 * times.count() + 1).bit_length())
-    cls = (2 * F.col("place") + (1 - F.col("event"))).cast("bigint")
-    classed = counted.join(place, "t").groupBy("risk", cls.alias("cls")).agg(F.sum("count").alias("count"))
-    cuts = find_cuts(counted, "risk")
-    levels = [
-        F.struct(
-            (F.shiftright("cls", b + 1) * F.lit(bits) + F.lit(b)).alias("grp"),
-            F.shiftright("cls", b).bitwiseAND(F.lit(1)).alias("bit"),
-        )
-        for b in range(bits)
-    ]
-    spread = classed.select("risk", "cls", "count", F.inline(F.array(*levels)))
-    first = (F.col("bit") == 0) & (F.col("cls") % 2 == 0)
-    counts = {
-        "lost": F.coalesce(F.sum(F.when(first, F.col("count"))), F.lit(0)),
-        "kept": F.coalesce(F.sum(F.when(F.col("bit") == 1, F.col("count"))), F.lit(0)),
-    }
-    ladder = running_sums(spread, "risk", counts, ["grp"], cuts)
-    per_group = ladder.groupBy("grp").agg(
-        F.sum(F.col("lost").cast("double") * F.col("kept_before")).alias("won"),
-        F.sum(F.col("lost").cast("double") * F.col("kept")).alias("tied"),
-        (F.sum("lost").cast("double") * F.sum("kept")).alias("pairs"),
-    )
-    return per_group.agg(
-        F.sum("won").alias("concordant"),
-        F.sum("tied").alias("tied"),
-        F.sum("pairs").alias("comparable"),
-    ).withColumn(
-        "c_index", (F.col("concordant") + F.col("tied") / 2) / F.nullif(F.col("comparable"), F.lit(0.0))
+    let_workers_import(df.sparkSession)
+    used = {"risk": F.col(risk).cast("double") + F.lit(0.0), "t": F.col(duration).cast("double") + F.lit(0.0)}
+    used["event"] = F.col(event).cast("int")
+    known = stage(df.select(*(c.alias(n) for n, c in used.items())).dropna(), "concordance")
+    size = known.count()
+    per_range = max(strip_rows, -(-size // GRID_RANGES))
+    times, risks = find_cuts(known, "t", per_range), find_cuts(known, "risk", per_range)
+    timed = times.assign(known, "t").withColumn("strip", F.col("__range").cast("int")).drop("__range")
+    hot = F.col("risk").isin(risks.heavy) if risks.heavy else F.lit(False)
+    # A frequent risk is its range's lower bound: an even place, before the rest of the range.
+    place = 2 * F.col("__range").cast("int") + F.when(hot, 0).otherwise(1)
+    placed = risks.assign(timed, "risk").withColumn("place", place).drop("__range")
+    places = 2 * (len(risks.bounds) + 1)
+
+    def by_time(key: tuple, table: pa.Table) -> pa.Table:
+        t, defaulted, at, n = (table[c].to_numpy() for c in ("t", "event", "place", "n"))
+        cls, first = _classes(t, defaulted), defaulted == 1
+        below, same = _later_rows(cls, at, n)
+        per_class = np.zeros(cls.max() + 2, np.int64)
+        np.add.at(per_class, cls, n)
+        later = per_class[::-1].cumsum()[::-1][cls + 1]
+        lost = np.where(first, n, 0)
+        cells = np.zeros((2, places), np.int64)
+        np.add.at(cells[0], at, lost)
+        np.add.at(cells[1], at, n)
+        found = [(lost * below).sum(), (lost * same)[at % 2 == 0].sum(), (lost * later).sum()]
+        columns = [[key[0].as_py()], *([int(f)] for f in found), [cells[0].tolist()], [cells[1].tolist()]]
+        return pa.table(dict(zip(("strip", "won", "tied", "pairs", "lost", "kept"), columns, strict=True)))
+
+    def by_risk(key: tuple, table: pa.Table) -> pa.Table:
+        value, t, defaulted = (table[c].to_numpy() for c in ("risk", "t", "event"))
+        below, same = _later_rows(_classes(t, defaulted), value, np.ones(len(t), np.int64))
+        first = defaulted == 1
+        return pa.table({"won": [int(below[first].sum())], "tied": [int(same[first].sum())]})
+
+    counted = placed.groupBy("strip", "t", "event", "place").agg(F.count(F.lit(1)).alias("n"))
+    kind = "strip bigint, won bigint, tied bigint, pairs bigint, lost array<bigint>, kept array<bigint>"
+    strips = sorted(counted.groupBy("strip").applyInArrow(by_time, kind).collect())
+    won, tied, pairs = (sum(r[c] for r in strips) for c in ("won", "tied", "pairs"))
+    if strips:
+        lost, kept = (np.array([r[c] for r in strips], np.int64) for c in ("lost", "kept"))
+        later = kept[::-1].cumsum(axis=0)[::-1] - kept
+        won += int((lost * (later.cumsum(axis=1) - later)).sum())
+        tied += int((lost * later)[:, ::2].sum())
+        pairs += int((lost.sum(axis=1) * later.sum(axis=1)).sum())
+    rest = placed.where("place % 2 = 1").groupBy("place").applyInArrow(by_risk, "won bigint, tied bigint")
+    total = lambda c, more: (F.coalesce(F.sum(c), F.lit(0)) + F.lit(more)).cast("double")
+    comparable = F.lit(float(pairs) if size else None).cast("double")
+    return (
+        rest.agg(total("won", won).alias("concordant"), total("tied", tied).alias("tied"))
+        .select(*(F.when(comparable.isNotNull(), F.col(c)).alias(c) for c in ("concordant", "tied")), comparable.alias("comparable"))
+        .withColumn("c_index", (F.col("concordant") + F.col("tied") / 2) / F.nullif(F.col("comparable"), F.lit(0.0)))
     )
 
 

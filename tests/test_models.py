@@ -204,6 +204,26 @@ def test_concordance_keeps_fractions_and_long_durations(spark):
     assert [got["concordant"], got["tied"], got["comparable"]] == want
 
 
+@pytest.mark.parametrize("hot", [0.0, 0.5])
+def test_concordance_over_many_ranges(spark, hot):
+    """Ranges of few rows, frequent risks and durations; no row is copied once per bit of its class."""
+    rng = np.random.default_rng(21)
+    n = 1500
+    risk = np.where(rng.random(n) < hot, 0.25, rng.random(n).round(2 if hot else 9))
+    t = np.where(rng.random(n) < hot, 12.0, rng.random(n) * 60)
+    e = (rng.random(n) < 0.4).astype(int)
+    first, later = e[:, None] == 1, (t[None] > t[:, None]) | ((t[None] == t[:, None]) & (e[None] == 0))
+    pairs = first & later
+    want = [(pairs & (risk[None] < risk[:, None])).sum(), (pairs & (risk[None] == risk[:, None])).sum(), pairs.sum()]
+    rows = list(zip(t.tolist(), e.tolist(), risk.tolist()))
+    df = spark.createDataFrame(rows, "duration double, event int, risk double")
+    got = survival.concordance_index(df, "risk", strip_rows=20)
+    assert "Generate" not in got._jdf.queryExecution().toString()
+    assert list(got.first())[:3] == want
+    none = survival.concordance_index(df.where("false"), "risk").first()
+    assert none["comparable"] is None and none["c_index"] is None
+
+
 def test_cox_says_when_it_did_not_converge(times):
     with pytest.raises(RuntimeError, match="no convergence"):
         cox.cox_fit(times[0], ["a", "b"], max_steps=1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -10,7 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lendlens.functions.columns import age_years, band, label
 from lendlens.operators.features import repayment_scalars
-from lendlens.operators.prefix import attach_by_value, find_cuts, running_sums
 from lendlens.sources.session import let_workers_import, stage
 
 # Bin edges [a, b) and labels.
@@ -136,6 +136,52 @@ def repay_target_join(apps: DataFrame, profiles: DataFrame) -> DataFrame:
     return apps.select(*wanted).join(profiles, "SK_ID_CURR")
 
 
+#: Rows of a range of one variable that a task ranks, and the most ranges of a variable.
+STRIP_ROWS, MAX_STRIPS = 100_000, 1024
+#: Rows whose ranks of all variables one task puts together.
+BUCKET_ROWS = 50_000
+
+
+def _known(batch: pa.RecordBatch | pa.Table, k: int) -> np.ndarray:
+    """Which of the first ``k`` columns are not null, by row."""
+    return np.array([np.asarray(batch.column(i).is_valid()) for i in range(k)])
+
+
+def _listed(batch: pa.RecordBatch, k: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Known entries and values of ``k`` array columns of ``width`` elements each."""
+    known, values = _known(batch, k), np.zeros((k, width, batch.num_rows))
+    for i, c in enumerate(batch.columns):
+        values[i][:, known[i]] = c.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, width).T
+    return known, values
+
+
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy", "lx", "hx", "ly", "hy")
+_MOMENT_ROWS = "i bigint, j bigint, " + ", ".join(f"{n} double" for n in _MOMENTS)
+
+
+def _moments_of(parts: Iterator[tuple[np.ndarray, np.ndarray]], k: int, variants: Sequence[int]) -> dict:
+    """``i, j, n`` and moments of every pair of ``k`` variables, from known entries and values of some rows each."""
+    pairs = [(i, j) for i in range(k) for j in range(i)]
+    total = np.zeros((len(pairs), 6))
+    ends = np.tile([np.inf, -np.inf, np.inf, -np.inf], (len(pairs), 1))
+    for known, values in parts:
+        for at, (i, j) in enumerate(pairs):
+            both = known[i] & known[j]
+            if not both.any():
+                continue
+            x, y = values[i, variants[j]][both], values[j, variants[i]][both]
+            total[at] += [both.sum(), x.sum(), y.sum(), x @ x, y @ y, x @ y]
+            ends[at, ::2] = np.minimum(ends[at, ::2], [x.min(), y.min()])
+            ends[at, 1::2] = np.maximum(ends[at, 1::2], [x.max(), y.max()])
+    found = {"i": [i for i, _ in pairs], "j": [j for _, j in pairs]}
+    return found | {n: np.column_stack([total, ends])[:, c] for c, n in enumerate(_MOMENTS)}
+
+
+def _added_up(moments: DataFrame) -> DataFrame:
+    merge = {"lx": F.min, "ly": F.min, "hx": F.max, "hy": F.max}
+    return moments.groupBy("i", "j").agg(*(merge.get(n, F.sum)(n).alias(n) for n in _MOMENTS))
+
+
 def _pair_moments(wide: DataFrame, k: int, variants: Sequence[int]) -> DataFrame:
     """``i, j, n`` and centred moments of every pair of ``k`` variables, one row per pair and task before the sum.
 
@@ -143,33 +189,12 @@ def _pair_moments(wide: DataFrame, k: int, variants: Sequence[int]) -> DataFrame
     ``variants[j]`` of v_i meets element ``variants[i]`` of v_j. Values are centred by the caller.
     """
     width = 1 + max(variants, default=0)
-    names = ["n", "sx", "sy", "sxx", "syy", "sxy", "lx", "hx", "ly", "hy"]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = [(i, j) for i in range(k) for j in range(i)]
-        total = np.zeros((len(pairs), 6))
-        ends = np.tile([np.inf, -np.inf, np.inf, -np.inf], (len(pairs), 1))
-        for batch in batches:
-            known = np.array([np.asarray(c.is_valid()) for c in batch.columns])
-            values = np.zeros((k, width, batch.num_rows))
-            for i, c in enumerate(batch.columns):
-                values[i][:, known[i]] = c.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(-1, width).T
-            for at, (i, j) in enumerate(pairs):
-                both = known[i] & known[j]
-                if not both.any():
-                    continue
-                x, y = values[i, variants[j]][both], values[j, variants[i]][both]
-                total[at] += [both.sum(), x.sum(), y.sum(), x @ x, y @ y, x @ y]
-                ends[at, ::2] = np.minimum(ends[at, ::2], [x.min(), y.min()])
-                ends[at, 1::2] = np.maximum(ends[at, 1::2], [x.max(), y.max()])
-        found = {"i": [i for i, _ in pairs], "j": [j for _, j in pairs]}
-        found |= {n: np.column_stack([total, ends])[:, c] for c, n in enumerate(names)}
-        yield pa.RecordBatch.from_pydict(found)
+        yield pa.RecordBatch.from_pydict(_moments_of((_listed(batch, k, width) for batch in batches), k, variants))
 
     let_workers_import(wide.sparkSession)
-    kind = "i bigint, j bigint, " + ", ".join(f"{n} double" for n in names)
-    merge = {"lx": F.min, "ly": F.min, "hx": F.max, "hy": F.max}
-    return wide.mapInArrow(fold, kind).groupBy("i", "j").agg(*(merge.get(n, F.sum)(n).alias(n) for n in names))
+    return _added_up(wide.mapInArrow(fold, _MOMENT_ROWS))
 
 
 def _matrix(moments: DataFrame, columns: Sequence[str], known: DataFrame) -> DataFrame:
@@ -211,33 +236,119 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFr
     return _matrix(moments, columns, _diagonal(typed, columns))
 
 
-def spearman_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, key: str = "SK_ID_CURR") -> DataFrame:
+class _Places:
+    """Ranges of one variable; a frequent value, the lower bound of its range, has an even place of its own."""
+
+    def __init__(self, points: Sequence[float]):
+        repeats = Counter(p + 0.0 for p in points)
+        self.bounds = np.array(sorted(repeats), float)
+        self.lower = np.concatenate([[np.nan], self.bounds])
+        self.frequent = np.array([False, *(repeats[v] > 1 for v in self.bounds.tolist())])
+        self.size = 2 * len(self.lower)
+
+    def of(self, values: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.bounds, values, side="right")
+        return 2 * at + ~(self.frequent[at] & (self.lower[at] == values))
+
+
+def spearman_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED, strip_rows: int = STRIP_ROWS) -> DataFrame:
     """Pairwise-complete Spearman correlations: Pearson on average ranks.
 
-    For a pair, ranks are taken among rows where both are known. Beside the
-    plain cumulative count of each value, one count per column with gaps
-    ("rows at or below this value that know the other column") is accumulated,
-    so every pair's ranks come from a single ordered pass over the long table.
-    Ranks return to one row per key, whose pairs are folded as for Pearson.
+    For a pair, ranks are taken among rows where both are known, so a value has one rank among all rows
+    and one for every different set of gaps. Counts per range of each variable give the ranks of frequent
+    values, which are looked up; other values go, one row each, to the task of their range, are ranked
+    there, and return to their row, whose pairs are folded as for Pearson.
     """
     columns = [c for c in columns if c in df.columns]
-    typed = stage(df.select(key, *(F.col(c).cast("double").alias(c) for c in columns)), "spearman")
-    known = typed.agg(F.count(F.lit(1)).alias("n"), *(F.count(F.col(c)).alias(c) for c in columns)).first()
-    gappy = [c for c in columns if known[c] < known["n"]]
-    present = [F.col(c).isNotNull().cast("int").alias(f"k{i}") for i, c in enumerate(gappy)]
-    entries = [F.struct(F.lit(i).alias("column"), F.col(c).alias("value")) for i, c in enumerate(columns)]
-    long = typed.select(key, *present, F.inline(F.array(*entries))).where("value is not null")
-
-    counters = {"n": F.count(F.lit(1))} | {f"k{i}": F.sum(f"k{i}") for i in range(len(gappy))}
-    cuts = find_cuts(long, "value")
-    sums = running_sums(long, "value", counters, ["column"], cuts)
-    middle = F.lit(known["n"] / 2)  # keeps the sums of squares small
-    per_counter = F.array(*(F.col(f"{n}_before") + (F.col(n) + 1) / 2 - middle for n in counters))
-    ranks = sums.select("column", "value", per_counter.alias("ranks"))
-    ranked = attach_by_value(long.select(key, "column", "value"), ranks, "value", cuts, ["column"])
-
-    # One row per client, at most one entry per variable.
-    mine = lambda i: F.max(F.when(F.col("column") == i, F.col("ranks"))).alias(f"v{i}")
-    wide = ranked.groupBy(key).agg(*(mine(i) for i in range(len(columns)))).drop(key)
-    variants = [1 + gappy.index(c) if c in gappy else 0 for c in columns]
-    return _matrix(_pair_moments(wide, len(columns), variants), columns, _diagonal(typed, columns))
+    k = len(columns)
+    values = [(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in columns]
+    typed = stage(df.select(*values, F.monotonically_increasing_id().alias("__row")), "spearman")
+    pattern = sum((F.col(c).isNotNull().cast("int") * (1 << i) for i, c in enumerate(columns)), F.lit(0))
+    seen = typed.groupBy(pattern.alias("known")).count().collect()  # sets of known variables
+    n, gaps, variants = sum(r["count"] for r in seen), [], []
+    for i in range(k):  # variables with the same gaps share a variant of the ranks
+        if all(r["known"] >> i & 1 for r in seen):
+            variants.append(0)
+            continue
+        like = [v for v, g in enumerate(gaps, 1) if all((r["known"] >> i ^ r["known"] >> g) & 1 == 0 for r in seen)]
+        if not like:
+            gaps.append(i)
+        variants.append(like[0] if like else len(gaps))
+    width = 1 + len(gaps)
+
+    ranges = min(MAX_STRIPS, max(8, -(-n // strip_rows)))
+    shares = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    cut = typed.agg(*(F.expr(f"percentile_approx(`{c}`, array({shares}), {8 * ranges})").alias(c) for c in columns)).first()
+    places = [_Places(cut[c] or []) for c in columns]
+
+    def numbers(batch: pa.RecordBatch | pa.Table, i: int) -> np.ndarray:
+        column = batch.column(i)
+        return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = [np.zeros((width, p.size), np.int64) for p in places]
+        for batch in batches:
+            known = _known(batch, k)
+            for i, p in enumerate(places):
+                at = p.of(numbers(batch, i))
+                for v in range(width):
+                    rows = known[i] & known[gaps[v - 1]] if v else known[i]
+                    cells[i][v] += np.bincount(at[rows], minlength=p.size)
+        for i, c in enumerate(cells):
+            v, at = np.nonzero(c)
+            yield pa.RecordBatch.from_pydict({"i": np.full(len(v), i), "v": v, "place": at, "n": c[v, at]})
+
+    let_workers_import(df.sparkSession)
+    counted = typed.select(*columns).mapInArrow(count, "i bigint, v bigint, place bigint, n bigint")
+    found = counted.groupBy("i", "v", "place").agg(F.sum("n").alias("n")).toArrow()  # counts per range
+    sizes = [np.zeros((width, p.size)) for p in places]
+    for i, v, at, m in zip(*(found[c].to_pylist() for c in ("i", "v", "place", "n")), strict=True):
+        sizes[i][v, at] = m
+    middle = n / 2  # keeps the sums of squares small
+    before = [c.cumsum(axis=1) - c for c in sizes]
+    frequent = [b + (c + 1) / 2 - middle for b, c in zip(before, sizes)]
+    stride = max(p.size for p in places)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = _known(batch, k)
+            bits = sum((known[g].astype(np.int64) << v for v, g in enumerate(gaps)), np.zeros(batch.num_rows, np.int64))
+            row = numbers(batch, k)
+            for i, p in enumerate(places):
+                value = numbers(batch, i)
+                at = p.of(value)
+                rows = np.flatnonzero(known[i] & (at % 2 == 1))
+                dealt = {"strip": i * stride + at[rows], "row": row[rows], "bits": bits[rows], "value": value[rows]}
+                yield pa.RecordBatch.from_pydict(dealt)
+
+    def rank(key: tuple, table: pa.Table) -> pa.Table:
+        i, place = divmod(key[0].as_py(), stride)
+        value = table["value"].to_numpy()
+        order = np.argsort(value, kind="stable")
+        starts = np.flatnonzero(np.diff(value[order], prepend=-np.inf) != 0)
+        run = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(order)))
+        bits, ranked = table["bits"].to_numpy()[order], {"row": table["row"].to_numpy()[order], "i": np.full(len(order), i)}
+        for v in range(width):
+            tied = np.add.reduceat(bits >> (v - 1) & 1 if v else np.ones(len(order), np.int64), starts)
+            ranked[f"r{v}"] = (before[i][v, place] + tied.cumsum() - tied + (tied + 1) / 2 - middle)[run]
+        return pa.table(ranked)
+
+    dealt = typed.mapInArrow(deal, "strip bigint, row bigint, bits bigint, value double")
+    kind = "row bigint, i bigint, " + ", ".join(f"r{v} double" for v in range(width))
+    ranks = dealt.groupBy("strip").applyInArrow(rank, kind)
+    # Few rows and their ranks meet in one task each.
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(max(8, -(-n // BUCKET_ROWS)))).alias("bucket")
+
+    def fold(left: pa.Table, right: pa.Table) -> pa.Table:
+        row, known, ranked = left["__row"].to_numpy(), _known(left, k), np.zeros((k, width, left.num_rows))
+        order = np.argsort(row)
+        of, back = right["i"].to_numpy(), order[np.searchsorted(row, right["row"].to_numpy(), sorter=order)]
+        for i, p in enumerate(places):
+            ranked[i] = frequent[i][:, p.of(numbers(left, i))]
+            for v in range(width):
+                ranked[i, v, back[of == i]] = right[f"r{v}"].to_numpy()[of == i]
+        return pa.table(_moments_of(iter([(known, ranked)]), k, variants))
+
+    rows = typed.select(*columns, "__row", bucket("__row")).groupBy("bucket")
+    met = rows.cogroup(ranks.select("*", bucket("row")).groupBy("bucket")).applyInArrow(fold, _MOMENT_ROWS)
+    return _matrix(_added_up(met), columns, _diagonal(typed, columns))

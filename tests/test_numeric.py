@@ -107,6 +107,25 @@ def test_correlations_match_pandas_with_gaps(spark):
             assert r["correlation"] == pytest.approx(expected.loc[r["variable"], r["other"]], abs=1e-9)
 
 
+def test_spearman_over_many_ranges_and_shared_gaps(spark):
+    """Ranges of few rows, frequent values, and rank arrays no wider than the different sets of gaps."""
+    rng = np.random.default_rng(6)
+    n = 600
+    frame = pd.DataFrame({"a": rng.normal(size=n), "b": rng.normal(size=n).round(), "c": rng.random(n), "d": np.repeat(1.5, n)})
+    frame["e"] = np.where(rng.random(n) < 0.5, 0.0, frame.a + rng.normal(size=n))
+    frame.loc[rng.random(n) < 0.3, ["b", "c"]] = np.nan
+    frame.loc[rng.random(n) < 0.1, "e"] = np.nan
+    rows = spark.createDataFrame(frame)
+    rows = stage(rows.select(*(F.when(~F.isnan(c), F.col(c)).alias(c) for c in rows.columns)))
+    found = segments.spearman_matrix(rows, list("abcde"), strip_rows=25)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "r2" in plan and "r3" not in plan  # all rows, gaps of b and c, gaps of e
+    want = frame.corr(method="spearman")
+    for r in found.collect():
+        expected = want.loc[r["variable"], r["other"]]
+        assert (r["correlation"] is None and np.isnan(expected)) or r["correlation"] == pytest.approx(expected, abs=1e-9)
+
+
 def test_samples_and_splits(skewed):
     df, frame = skewed
     hashed = frame.SK_ID_CURR * 2654435761 % 2**32
